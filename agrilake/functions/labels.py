@@ -60,13 +60,18 @@ def events_label(events: Column, percent: Column) -> Column:
 
 def signed_delta(current: Column, previous: Column, suffix: str = "") -> Column:
     """'+1.5 C' style change; null when there is nothing to compare with."""
-    change = F.bround(current.cast("double") - previous.cast("double"), 1)
-    return F.when(change.isNotNull(), F.concat(F.format_string("%+.1f", change), F.lit(suffix)))
+    return _fixed(current.cast("double") - previous.cast("double"), "+", suffix)
 
 
 def one_decimal(value: Column, suffix: str = "") -> Column:
-    rounded = F.bround(value.cast("double"), 1)
-    return F.when(rounded.isNotNull(), F.concat(F.format_string("%.1f", rounded), F.lit(suffix)))
+    return _fixed(value.cast("double"), "", suffix)
+
+
+def _fixed(value: Column, plus: str, suffix: str) -> Column:
+    """One decimal, ties to even; the sign is the value's own, so -0.04 shows as -0.0."""
+    sign = F.when(value < 0, "-").otherwise(plus)
+    digits = F.format_string("%.1f", F.bround(F.abs(value), 1))
+    return F.when(value.isNotNull(), F.concat(sign, digits, F.lit(suffix)))
 
 
 def millions(value: Column, suffix: str = "") -> Column:

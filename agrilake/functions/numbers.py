@@ -17,7 +17,7 @@ def parse_statistic(value: Column) -> Column:
 
 
 def null_if_nan(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -28,8 +28,7 @@ class Gate:
 
 def _optional(name: str, low: float, high: float | None = None) -> Column:
     value = F.col(name)
-    inside = value >= low if high is None else value.between(low, high)
-    return value.isNull() | inside
+    return F.coalesce(value >= low if high is None else value.between(low, high), F.lit(True))
 
 
 def _coordinates() -> dict[str, Column]:

@@ -32,7 +32,7 @@ def _measure_rules(limits: Thresholds) -> list[tuple[str, Column]]:
     q = limits.quality
     humidity, rain = F.col("relative_humidity_2m"), F.col("precipitation_mm")
     wind, temperature = F.col("wind_speed_kmh"), F.col("temperature_2m")
-    # A missing measure passes: the comparison is null and F.when drops it.
+    # A missing measure passes: its comparison is null, which F.when takes for not broken.
     return [
         ("relative_humidity_2m_out_of_range", ~humidity.between(q.min_humidity_pct, q.max_humidity_pct)),
         ("precipitation_mm_below_minimum", rain < q.min_precipitation_mm),
@@ -41,10 +41,10 @@ def _measure_rules(limits: Thresholds) -> list[tuple[str, Column]]:
     ]
 
 
-def rule_reasons(limits: Thresholds | None = None) -> Column:
-    """array<string> of the broken rules in rule order; empty for a valid record."""
+def rule_reason(limits: Thresholds | None = None) -> Column:
+    """Names of the broken rules in rule order, comma-separated; empty for a valid record."""
     rules = _key_rules() + _measure_rules(limits or Thresholds())
-    return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
+    return F.concat_ws(",", *[F.when(broken, F.lit(name)) for name, broken in rules])
 
 
 def judge(
@@ -53,14 +53,14 @@ def judge(
     limits: Thresholds | None = None,
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Add ``reasons`` (array) and ``accepted``; ``order`` is a unique column giving the arrival order.
+    """Add ``reason`` (empty if accepted) and ``accepted``; ``order`` is a unique column giving the arrival order.
 
     The first valid record of a key (city, timestamp, latitude, longitude) is accepted. Every later record of
     that key is rejected as a duplicate and as nothing else, valid or not; an invalid record does not claim its
     key. A key with a missing or impossible part can never be claimed, so those records (the usual hot key: all
     parts null) skip the duplicate search altogether.
     """
-    marked = records.withColumn("reasons", rule_reasons(limits))
+    marked = records.withColumn("reason", rule_reason(limits))
     claimable = F.lit(True)
     for _, broken in _key_rules():
         claimable = claimable & ~broken
@@ -71,7 +71,7 @@ def judge(
         keyed.where(claimable)
         .groupBy(*keys)
         .agg(
-            F.min(F.when(F.size("reasons") == 0, F.col(order))).alias("_claimed_at"),
+            F.min(F.when(F.col("reason") == "", F.col(order))).alias("_claimed_at"),
             F.count(F.lit(1)).alias("_records"),
         )
         .where((F.col("_records") > 1) & F.col("_claimed_at").isNotNull())
@@ -82,9 +82,9 @@ def judge(
     joined = attach_key_facts(keyed, claims, list(keys), "_claimed_at", "_records", order, hot_key_rows)
     duplicate = F.coalesce(F.col("_claimed_at") < F.col(order), F.lit(False))
     return (
-        joined.withColumn("reasons", F.when(duplicate, F.array(F.lit(DUPLICATE))).otherwise(F.col("reasons")))
-        .withColumn("accepted", F.size("reasons") == 0)
-        .select(*records.columns, "reasons", "accepted")
+        joined.withColumn("reason", F.when(duplicate, DUPLICATE).otherwise(F.col("reason")))
+        .withColumn("accepted", F.col("reason") == "")
+        .select(*records.columns, "reason", "accepted")
     )
 
 
@@ -98,8 +98,8 @@ def split_judged(judged: DataFrame, record_columns: list[str], execution_id: str
     """Accepted records as they came; rejected ones wrapped as record, reason, time and run."""
     rejected = judged.where(~F.col("accepted")).select(
         F.struct(*record_columns).alias("record"),
-        F.array_join("reasons", ",").alias("reason"),
-        "reasons",
+        "reason",
+        F.split("reason", ",").alias("reasons"),
         F.current_timestamp().alias("validation_timestamp"),
         F.lit(execution_id).alias("pipeline_execution_id"),
     )

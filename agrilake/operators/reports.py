@@ -360,9 +360,9 @@ def production_by_state(crops: DataFrame, k: int | None = 12) -> DataFrame:
     return _top(shown, "produced_quantity", ["territory_name"], k)
 
 
-def crop_figures(crops: DataFrame) -> DataFrame:
+def crop_figures(crops: DataFrame, among: DataFrame | None = None) -> DataFrame:
     """One row for the latest year: year, crops, territories, total production."""
-    latest = at_latest(crops, "year")
+    latest = at_latest(crops, "year", among)
     return latest.agg(
         F.max("year").alias("year"),
         F.countDistinct("product_name").alias("crops"),
@@ -371,9 +371,11 @@ def crop_figures(crops: DataFrame) -> DataFrame:
     ).withColumn("display", labels.millions(F.col("produced_quantity"), " mi t"))
 
 
-def crop_table(crops: DataFrame, headings: Mapping[str, str] = CROP_HEADINGS) -> DataFrame:
-    ranked = _top(at_latest(crops, "year"), "produced_quantity", ["territory_name", "product_name"], None)
-    return with_headings(ranked, headings)
+def crop_table(
+    crops: DataFrame, headings: Mapping[str, str] = CROP_HEADINGS, among: DataFrame | None = None
+) -> DataFrame:
+    latest = at_latest(crops, "year", among)
+    return with_headings(_top(latest, "produced_quantity", ["territory_name", "product_name"], None), headings)
 
 
 # --- crops meet climate -----------------------------------------------------------------------------------
@@ -396,10 +398,11 @@ def crops_with_climate(
     crops: DataFrame,
     climate: DataFrame,
     state_by_code: Mapping[str, str] = labels.STATE_BY_CODE,
+    among: DataFrame | None = None,
 ) -> DataFrame:
     """Crops of the latest year with the climate of their state. Without climate: no events, no rain, and the
     mean temperature of the crop rows that have one (so a state counts once per crop)."""
-    latest = at_latest(crops, "year").withColumn("state", labels.state_of(F.col("territory_code"), state_by_code))
+    latest = at_latest(crops, "year", among).withColumn("state", labels.state_of(F.col("territory_code"), state_by_code))
     joined = latest.join(climate, "state", "left")
     mean = joined.agg(F.avg("temperatura_media")).scalar()
     return joined.withColumns(

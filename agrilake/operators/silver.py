@@ -42,21 +42,20 @@ def typed_weather(bronze: DataFrame) -> DataFrame:
 def is_valid_weather(limits: Thresholds | None = None) -> Column:
     q = (limits or Thresholds()).quality
 
-    def missing_or(name: str, condition: Column) -> Column:
-        return F.col(name).isNull() | condition
+    def unless_missing(condition: Column) -> Column:
+        return F.coalesce(condition, F.lit(True))
 
+    humidity = F.col("relative_humidity_2m").between(q.min_humidity_pct, q.max_humidity_pct)
+    temperature = F.col("temperature_2m").between(q.min_temperature_c, q.max_temperature_c)
     return (
         F.col("event_timestamp").isNotNull()
         & (F.trim("city") != "")
         & F.col("latitude").between(-90, 90)
         & F.col("longitude").between(-180, 180)
-        & missing_or(
-            "relative_humidity_2m",
-            F.col("relative_humidity_2m").between(q.min_humidity_pct, q.max_humidity_pct),
-        )
-        & missing_or("precipitation_mm", F.col("precipitation_mm") >= q.min_precipitation_mm)
-        & missing_or("wind_speed_kmh", F.col("wind_speed_kmh") >= q.min_wind_speed_kmh)
-        & missing_or("temperature_2m", F.col("temperature_2m").between(q.min_temperature_c, q.max_temperature_c))
+        & unless_missing(humidity)
+        & unless_missing(F.col("precipitation_mm") >= q.min_precipitation_mm)
+        & unless_missing(F.col("wind_speed_kmh") >= q.min_wind_speed_kmh)
+        & unless_missing(temperature)
     )
 
 

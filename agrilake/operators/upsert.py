@@ -56,30 +56,27 @@ def upsert(
 ) -> DataFrame:
     """Whole-row merge: a key in ``batch`` takes the batch's ``replaced`` columns, nulls included.
 
-    Every other column (id, load time) stays as first loaded. New keys get ids from ``first_id`` on, by default
-    from the largest in ``current``; give it when ``current`` is only a slice of the table.
+    Every other column (id, load time) stays as first loaded. Each batch row draws an id from ``first_id`` on, by
+    default after the largest in ``current`` (give it when ``current`` is only a slice of the table), and keeps it
+    only if its key is new; like a database sequence this leaves gaps, and it leaves a single join to do.
     """
-    marked = batch.select(*key, *[c for c in batch.columns if c not in key]).withColumn("_hit", F.lit(True))
-    old, new = current.alias("old"), marked.alias("new")
-    on = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in key]
-    # One full outer join decides update, keep and insert; only the inserts go on to numbering.
     start = next_id(current, id_column) if first_id is None else first_id
-    in_batch = set(batch.columns)
+    drawn = number_rows(batch, key, id_column, start)
+    new = drawn.withColumn("_hit", F.lit(True)).alias("new")
+    old = current.alias("old")
+    in_batch = set(drawn.columns)
 
     def merged(name: str) -> Column:
-        before = F.col(f"old.{name}")
-        if name in key:
-            return F.coalesce(before, F.col(f"new.{name}"))
+        before, after = F.col(f"old.{name}"), F.col(f"new.{name}")
         if name not in in_batch:
             return before
         if name in replaced:
-            return F.when(F.col("new._hit"), F.col(f"new.{name}")).otherwise(before)
-        return F.coalesce(before, F.col(f"new.{name}"))
+            return F.when(F.col("new._hit"), after).otherwise(before)
+        return F.coalesce(before, after)
 
-    joined = old.join(new, on, "full_outer").select(*[merged(name).alias(name) for name in schema.fieldNames()])
-    known = joined.where(F.col(id_column).isNotNull())
-    added = number_rows(joined.where(F.col(id_column).isNull()), key, id_column, start)
-    return conform(known, schema).unionByName(conform(added, schema))
+    same_key = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in key]
+    rows = old.join(new, same_key, "full_outer").select(*[merged(n).alias(n) for n in schema.fieldNames()])
+    return conform(rows, schema)
 
 
 def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

@@ -83,6 +83,12 @@ def write_by_month(df: DataFrame, path: str) -> int:
     return written.get["rows"]
 
 
+def append_by_month(df: DataFrame, path: str) -> None:
+    """Add rows to a dataset kept by year, month and state."""
+    gathered = df.hint("rebalance", *[F.col(name) for name in _MONTH_OF_STATE])
+    gathered.write.mode("append").partitionBy(*_MONTH_OF_STATE).parquet(path)
+
+
 def write_whole(df: DataFrame, path: str) -> int:
     """Replace a dataset. Returns the rows written, counted during the write."""
     written = Observation()

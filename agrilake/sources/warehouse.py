@@ -38,10 +38,10 @@ TABLES = {
     "fact_weather_daily": FACT_WEATHER,
     "fact_agriculture_production": FACT_AGRICULTURE,
 }
-# Period of a fact row; dimensions have none and are rewritten whole.
+# Period of a fact row, as SQL; dimensions have none and are rewritten whole.
 PERIODS = {
-    "fact_weather_daily": F.expr("cast(date_id div 100 as string)"),
-    "fact_agriculture_production": F.expr("cast(year as string)"),
+    "fact_weather_daily": "cast(date_id div 100 as string)",
+    "fact_agriculture_production": "cast(year as string)",
 }
 
 
@@ -90,13 +90,13 @@ class Warehouse:
         if table not in PERIODS:
             df.write.mode("overwrite").parquet(target)
             return {WHOLE: target}
-        dated = df.withColumn(PERIOD, PERIODS[table])
+        dated = df.withColumn(PERIOD, F.expr(PERIODS[table]))
         dated.hint("rebalance", F.col(PERIOD)).write.mode("overwrite").partitionBy(PERIOD).parquet(target)
         return {period: f"{target}/{PERIOD}={period}" for period in periods or ()}
 
     def periods_of(self, table: str, df: DataFrame) -> set[str]:
         """Periods the rows fall into; bounded by the calendar, not by the data."""
-        return {row[0] for row in df.select(PERIODS[table].alias(PERIOD)).distinct().collect()}
+        return {row[0] for row in df.select(F.expr(PERIODS[table]).alias(PERIOD)).distinct().collect()}
 
     def largest_id(self, table: str, staged: dict[str, str], base: Snapshot) -> int:
         """Largest id given out so far: the base's, or one in the periods just staged."""

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 EVENTS = """
 ev AS (
-  SELECT event_id, ts, user_id, event_type, CAST(ROUND(value * 100) AS BIGINT) AS cents,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, n_nationkey AS nk, n_name, r_name
+  SELECT event_id, ts, user_id, event_type, CAST(floor(value * 100 + 0.5) AS BIGINT) AS cents,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, n_nationkey AS nk, n_name, r_name, r_regionkey
   FROM events JOIN nation ON n_nationkey = user_id % 25 JOIN region ON r_regionkey = n_regionkey
 )"""
 
@@ -215,10 +215,9 @@ late AS (SELECT DISTINCT city, state, region || ' II' AS region, latitude, longi
 first_ids AS ("""
     + _bucketed("early", ["city", "state"], "location_id")
     + """),
-fresh AS (SELECT * FROM late ANTI JOIN early USING (city, state)),
-fresh_ids AS ("""
-    + _bucketed("fresh", ["city", "state"], "location_id", "(SELECT MAX(location_id) + 1 FROM first_ids)")
-    + ")"
+late_ids AS ("""
+    + _bucketed("late", ["city", "state"], "location_id", "(SELECT MAX(location_id) + 1 FROM first_ids)")
+    + "), fresh_ids AS (SELECT * FROM late_ids ANTI JOIN early USING (city, state))"
 )
 
 
@@ -305,7 +304,7 @@ _add(
     "array_normalize",
     EVENTS,
     """SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') || '#' || lpad(CAST(h AS VARCHAR), 9, '0') AS record_order,
-       strftime(ts + h * INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M') AS "timestamp", 'C' || nk AS city, r_name AS region,
+       strftime(ts + h * INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M') AS "timestamp", 'C' || nk AS city, 'R' || r_regionkey AS region,
        CASE WHEN event_type <> 'view' THEN 1.5 ELSE CAST(nk * 4 - 50 AS DOUBLE) END AS latitude,
        CAST(2.5 AS DOUBLE) AS longitude,
        CASE WHEN k % 4 = 0 OR (k % 4 = 1 AND h = 2) THEN NULL ELSE (cents % 5120) / 128.0::DOUBLE + h END
@@ -507,15 +506,14 @@ late AS (SELECT * FROM keyed WHERE event_date >= DATE '2024-01-15'),
 first_ids AS ("""
     + _bucketed("early", ["date_id", "location_id", "source_id"], "weather_fact_id")
     + """),
-fresh AS (SELECT * FROM late ANTI JOIN early USING (date_id, location_id, source_id)),
-fresh_ids AS ("""
+late_ids AS ("""
     + _bucketed(
-        "fresh",
+        "late",
         ["date_id", "location_id", "source_id"],
         "weather_fact_id",
         "(SELECT MAX(weather_fact_id) + 1 FROM first_ids)",
     )
-    + ")",
+    + "), fresh_ids AS (SELECT * FROM late_ids ANTI JOIN early USING (date_id, location_id, source_id))",
     """SELECT f.weather_fact_id, f.date_id, f.location_id, f.source_id,
        CASE WHEN l.date_id IS NOT NULL THEN l.warmer ELSE f.avg_temperature END AS avg_temperature,
        CASE WHEN l.date_id IS NULL THEN f.avg_humidity END AS avg_humidity, '2024-02-01 00:00:00' AS loaded_at

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrilake.functions.ids import weather_record_id
+from agrilake.functions.ids import number_rows, weather_record_id
 from agrilake.functions.numbers import parse_statistic
 from agrilake.functions.risk import temperature_band
 from agrilake.operators import gates, gold, quality, reports, silver, star
@@ -136,14 +136,12 @@ def union_all(spark, sf):
 
 @query
 def rule_reasons(spark, sf):
-    reason = F.array_join(quality.rule_reasons(), ",")
-    return fx.rule_records(spark, sf).select("seq", reason.alias("reason"))
+    return fx.rule_records(spark, sf).select("seq", quality.rule_reason().alias("reason"))
 
 
 @query
 def quality_split(spark, sf):
-    judged = quality.judge(fx.rule_records(spark, sf), "seq")
-    return judged.select("seq", F.array_join("reasons", ",").alias("reason"), "accepted")
+    return quality.judge(fx.rule_records(spark, sf), "seq").select("seq", "reason", "accepted")
 
 
 @query
@@ -205,13 +203,13 @@ def prod_by_state(spark, sf):
 
 @query
 def agri_kpi(spark, sf):
-    return reports.crop_figures(fx.crops(spark, sf))
+    return reports.crop_figures(fx.crops(spark, sf), fx.years(spark, sf))
 
 
 @query
 def crop_table(spark, sf):
     same_names = {name: name for name in ("year", "territory_name", "product_name", "produced_quantity", "harvested_area")}
-    return reports.crop_table(fx.crops(spark, sf), same_names)
+    return reports.crop_table(fx.crops(spark, sf), same_names, fx.years(spark, sf))
 
 
 # --- star schema ------------------------------------------------------------------------------------------
@@ -234,13 +232,16 @@ def _staging_of(rows):
     )
 
 
+def _sources(spark, staging):
+    seed = spark.createDataFrame([(1, *star.SEED_SOURCE)], DIM_SOURCE)
+    return star.merge_sources(seed, staging, star.WEATHER_SOURCE_TYPE)
+
+
 def _dimensions(spark, sf):
+    """Dates, locations and sources of a first load."""
     staging = _staging_of(fx.obs(spark, sf))
-    dates = star.merge_dates(_empty(spark, DIM_DATE), staging)
-    locations = star.merge_locations(_empty(spark, DIM_LOCATION), staging)
-    seed = spark.createDataFrame([star.SEED_SOURCE[:1]], "source string")
-    seeded = star.merge_sources(_empty(spark, DIM_SOURCE), seed, star.WEATHER_SOURCE_TYPE)
-    return dates, locations, star.merge_sources(seeded, staging, star.WEATHER_SOURCE_TYPE)
+    locations = number_rows(star.location_rows(staging), star.LOCATION_KEY, "location_id")
+    return star.date_rows(staging), locations, _sources(spark, staging)
 
 
 def _facts(spark, gold_rows, locations, sources):
@@ -252,7 +253,12 @@ def _facts(spark, gold_rows, locations, sources):
 
 @query
 def dim_date(spark, sf):
-    return fx.compared(_dimensions(spark, sf)[0])
+    """Two overlapping loads; the second adds only the days the first did not bring."""
+    rows = fx.obs(spark, sf)
+    early = rows.where(F.col("event_date") <= F.lit(fx.FIRST_BATCH_END))
+    late = rows.where(F.col("event_date") >= F.lit(fx.SECOND_BATCH_START))
+    first = star.merge_dates(_empty(spark, DIM_DATE), _staging_of(early))
+    return fx.compared(star.merge_dates(first, _staging_of(late)))
 
 
 @query
@@ -269,7 +275,7 @@ def dim_location(spark, sf):
 
 @query
 def dim_source(spark, sf):
-    known = _dimensions(spark, sf)[2]
+    known = _sources(spark, _staging_of(fx.obs(spark, sf)))
     return star.merge_sources(known, star.agriculture_staging(fx.crops(spark, sf)), star.AGRICULTURE_SOURCE_TYPE)
 
 
@@ -290,8 +296,7 @@ def fact_agri(spark, sf):
     staging = star.agriculture_staging(fx.crops(spark, sf))
     products = fx.table(spark, sf, "part").select(F.col("p_brand").alias("product_code"), F.col("p_brand").alias("product_name"))
     crops = star.merge_crops(_empty(spark, DIM_CROP), products)
-    source = spark.createDataFrame([("ibge_pam",)], "source string")
-    sources = star.merge_sources(_empty(spark, DIM_SOURCE), source, star.AGRICULTURE_SOURCE_TYPE)
+    sources = spark.createDataFrame([(1, "ibge_pam", star.AGRICULTURE_SOURCE_TYPE)], DIM_SOURCE)
     rows = star.agriculture_fact_rows(staging, crops, sources, F.lit(LOADED_AT))
     return fx.compared(star.merge_agriculture_facts(_empty(spark, FACT_AGRICULTURE), rows))
 
@@ -389,7 +394,7 @@ def dataset_summary(spark, sf):
 
 def _exposed(spark, sf):
     climate = reports.climate_by_state(fx.readings(spark, sf), fx.days(spark, sf))
-    return reports.crops_with_climate(fx.crops(spark, sf), climate, fx.STATE_BY_TERRITORY)
+    return reports.crops_with_climate(fx.crops(spark, sf), climate, fx.STATE_BY_TERRITORY, fx.years(spark, sf))
 
 
 @query
