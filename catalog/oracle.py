@@ -13,7 +13,7 @@ OBS = EVENTS + """,
 obs AS (
   SELECT event_id AS seq, ts, CAST(ts AS DATE) AS event_date, 'C' || user_id AS city, n_name AS state,
          r_name AS region, CAST(user_id % 181 - 90 AS DOUBLE) AS latitude,
-         CAST(user_id % 361 - 180 AS DOUBLE) AS longitude, 'sensor' AS source,
+         CAST(user_id % 361 - 180 AS DOUBLE) AS longitude, CASE WHEN user_id % 2 = 0 THEN 'sensor' ELSE 'station' END AS source,
          CASE WHEN k <> 7 THEN (cents % 5120) / 128.0::DOUBLE END AS temperature_2m,
          CASE WHEN k <> 13 THEN (CASE WHEN event_type = 'error' THEN cents ELSE 0 END) / 1024.0::DOUBLE END
            AS precipitation_mm,
@@ -165,6 +165,8 @@ def _bucketed(table: str, key: list[str], id_column: str, first: str = "1") -> s
 LOCATIONS = (
     ",\nplace AS (SELECT DISTINCT city, state, region, latitude, longitude FROM obs),\nlocations AS ("
     + _bucketed("place", ["city", "state"], "location_id")
+    + "),\nkinds AS (SELECT DISTINCT source AS source_name FROM obs),\nsources AS ("
+    + _bucketed("kinds", ["source_name"], "source_id", "2")
     + ")"
 )
 
@@ -200,9 +202,9 @@ FACT = (
     + LOCATIONS
     + f""",
 keyed AS (
-  SELECT CAST(strftime(event_date, '%Y%m%d') AS INTEGER) AS date_id, location_id, CAST(2 AS BIGINT) AS source_id,
+  SELECT CAST(strftime(event_date, '%Y%m%d') AS INTEGER) AS date_id, location_id, source_id,
          gold.event_date, gold.city, gold.state, gold.region, gold.latitude, gold.longitude, {_MEASURES}
-  FROM gold JOIN locations USING (city, state)
+  FROM gold JOIN locations USING (city, state) JOIN sources ON source_name = gold.source
 )"""
 )
 
@@ -455,11 +457,10 @@ UNION ALL SELECT location_id, city, state, region, latitude, longitude FROM fres
 )
 _add(
     "dim_source",
-    OBS + "," + CROPS + """,
-weather_sources AS (SELECT DISTINCT source FROM obs), crop_sources AS (SELECT DISTINCT source FROM crops)""",
+    OBS + LOCATIONS + "," + CROPS + ", crop_sources AS (SELECT DISTINCT source FROM crops)",
     """SELECT CAST(1 AS BIGINT) AS source_id, 'open_meteo' AS source_name, 'weather_api' AS source_type
-UNION ALL SELECT CAST(2 AS BIGINT), source, 'weather_api' FROM weather_sources
-UNION ALL SELECT CAST(3 AS BIGINT), source, 'agriculture_statistics' FROM crop_sources""",
+UNION ALL SELECT source_id, source_name, 'weather_api' FROM sources
+UNION ALL SELECT (SELECT MAX(source_id) + 1 FROM sources), source, 'agriculture_statistics' FROM crop_sources""",
 )
 _add(
     "dim_crop",
