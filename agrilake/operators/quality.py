@@ -66,7 +66,7 @@ def judge(
         claimable = claimable & ~broken
     keys = {f"_k{i}": F.when(claimable, F.col(name)) for i, name in enumerate(RECORD_KEY)}
     keyed = marked.withColumns(keys)
-    # Only keys seen more than once and claimed by a valid record matter for the join below.
+    # Only keys seen more than once and claimed by a valid record decide anything; hot keys are needed to spread.
     claims = (
         keyed.where(claimable)
         .groupBy(*keys)
@@ -74,7 +74,9 @@ def judge(
             F.min(F.when(F.col("reason") == "", F.col(order))).alias("_claimed_at"),
             F.count(F.lit(1)).alias("_records"),
         )
-        .where((F.col("_records") > 1) & F.col("_claimed_at").isNotNull())
+        .where(
+            ((F.col("_records") > 1) & F.col("_claimed_at").isNotNull()) | (F.col("_records") > hot_key_rows)
+        )
     )
     # Null keys match nothing in the outer join, but they would still meet in one shuffle partition: spread them.
     spread = F.concat(F.lit("unclaimable "), F.xxhash64(order).cast("string"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from agrilake.config import AGRICULTURE_SOURCE, WEATHER_SOURCE
 from agrilake.functions.calendar import calendar_columns, date_id
 from agrilake.functions.numbers import nan_to_null
-from agrilake.operators.upsert import insert_if_absent, orphans, upsert
+from agrilake.operators.upsert import insert_if_absent, orphan_keys, upsert
 from agrilake.schemas import (
     AGRICULTURE_FACT_MEASURES,
     DIM_CROP,
@@ -140,7 +140,9 @@ def merge_agriculture_facts(current: DataFrame, rows: DataFrame, first_id: int |
 def foreign_key_report(fact: DataFrame, references: dict[str, DataFrame]) -> DataFrame:
     """(foreign_key, orphan_rows) for every referenced dimension."""
     parts = [
-        orphans(fact, dimension, key).agg(F.lit(key).alias("foreign_key"), F.count(F.lit(1)).alias("orphan_rows"))
+        orphan_keys(fact, dimension, key).agg(
+            F.lit(key).alias("foreign_key"), F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows")
+        )
         for key, dimension in references.items()
     ]
     report = parts[0]

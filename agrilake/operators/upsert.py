@@ -79,6 +79,10 @@ def upsert(
     return conform(rows, schema)
 
 
-def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Fact rows whose dimension key is missing from the dimension."""
-    return fact.join(dimension.select(key), key, "left_anti")
+def orphan_keys(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """Keys the fact uses but the dimension lacks, with their fact ``rows``.
+
+    The fact is counted per key before the join, so a key with a third of all rows is one row there.
+    """
+    used = fact.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return used.join(dimension.select(key), key, "left_anti")

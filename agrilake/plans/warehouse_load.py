@@ -104,10 +104,12 @@ def _require_state_codes(staging: DataFrame) -> None:
         raise WarehouseLoadError(f"dim_location: {bad['long_state']} rows whose state is no two-letter code")
 
 
-def load_gold(spark: SparkSession, config: LakeConfig) -> int:
-    """Load the gold layers; crop statistics are skipped while there are none."""
+def load_gold(spark: SparkSession, config: LakeConfig, with_crops: bool = True) -> int:
+    """Load the gold layers; crop statistics are skipped while there are none or when not wanted."""
     weather = read_layer(spark, config.layer("gold", "weather_daily"), GOLD_WEATHER)
-    crops = read_layer_or_none(spark, config.layer("gold", "agriculture_summary"), GOLD_AGRICULTURE)
+    crops = None
+    if with_crops:
+        crops = read_layer_or_none(spark, config.layer("gold", "agriculture_summary"), GOLD_AGRICULTURE)
     return load_warehouse(spark, config.warehouse_root, weather, crops)
 
 

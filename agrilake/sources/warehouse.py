@@ -81,6 +81,13 @@ class Warehouse:
             return self.spark.createDataFrame([], TABLES[table])
         return self.spark.read.schema(TABLES[table]).parquet(*paths)
 
+    def create_views(self, prefix: str = "") -> Snapshot:
+        """Temporary views of all star tables, all from one snapshot, for ``spark.sql``."""
+        snapshot = self.snapshot()
+        for table in TABLES:
+            self.read(table, snapshot).createOrReplaceTempView(f"{prefix}{table}")
+        return snapshot
+
     def stage(self, table: str, df: DataFrame, version: int, periods: set[str] | None = None) -> dict[str, str]:
         """Write rows for a coming version; nobody sees them before the commit. Returns period -> directory.
 

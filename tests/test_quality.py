@@ -107,3 +107,12 @@ def test_invalid_first_does_not_claim_the_key(spark):
     got = [r["reason"] for r in judge(df, "seq").orderBy("seq").select("reason").collect()]
     assert got == ["temperature_2m_out_of_range", "", "duplicate_record"]
     assert judge(df, "seq").where(F.col("accepted")).count() == 1
+
+
+def test_a_hot_key_that_nobody_claims_is_spread(spark):
+    """All copies of one key break a measure rule: no valid record, yet one task must not get them all."""
+    df = _frame(spark, *[_with(temperature=99.0)] * 300)
+    judged = judge(df, "seq", hot_key_rows=10)
+    assert {r["reason"] for r in judged.collect()} == {"temperature_2m_out_of_range"}
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "_is_hot" in plan

@@ -147,6 +147,25 @@ def test_readings_come_from_the_warehouse_else_from_gold(spark, tmp_path):
     assert len(readings.columns) == 24
 
 
+def test_star_tables_answer_sql(spark, tmp_path):
+    root = str(tmp_path)
+    rain = {"total_precipitation": F.when(F.col("city") == "Vera", 0.5).otherwise(12.25)}
+    load_warehouse(spark, root, _gold(spark, (AUG, "Sorriso", 20.0), (SEP, "Vera", 21.25)).withColumns(rain))
+    Warehouse(spark, root).create_views("wh_")
+    star_join = "FROM wh_fact_weather_daily f JOIN wh_dim_location l ON l.location_id = f.location_id"
+    states = spark.sql(f"SELECT l.state, SUM(f.total_precipitation) AS mm {star_join} GROUP BY l.state").collect()
+    assert [(r["state"], float(r["mm"])) for r in states] == [("MT", 12.75)]
+    dry = spark.sql(
+        f"SELECT l.city, SUM(CASE WHEN f.total_precipitation < 1 THEN 1 ELSE 0 END) AS d {star_join} GROUP BY l.city ORDER BY d DESC"
+    ).collect()
+    assert [tuple(r) for r in dry] == [("Vera", 1), ("Sorriso", 0)]
+    months = spark.sql(
+        "SELECT d.year, d.month, ROUND(AVG(f.avg_temperature), 2) AS t FROM wh_fact_weather_daily f "
+        "JOIN wh_dim_date d ON d.date_id = f.date_id GROUP BY d.year, d.month ORDER BY d.year, d.month"
+    ).collect()
+    assert [(r["month"], float(r["t"])) for r in months] == [(8, 20.0), (9, 21.25)]
+
+
 def test_foreign_keys_hold_after_a_load(spark, tmp_path):
     root = str(tmp_path)
     load_warehouse(spark, root, _gold(spark, (AUG, "Sorriso", 20.0), (SEP, "Vera", 21.0)))
