@@ -16,6 +16,8 @@ def spark(tmp_path_factory):
     builder = SparkSession.builder.master("local[4]").appName("tests")
     builder = builder.config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
     builder = builder.config("spark.driver.memory", "4g")
+    # Tiny inputs: tracking the Python line of every column costs more than running the plans.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     builder = builder.config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     session = configure(builder).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
