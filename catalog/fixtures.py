@@ -266,3 +266,9 @@ def years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def crops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agriculture_gold(agri_long(spark, sf_dir))
+
+
+def sourced_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crops from two offices: with one constant source, a join on it would turn into a cross join."""
+    office = F.when(F.col("product_code") < "Brand#2", "ibge_pam").otherwise("survey")
+    return crops(spark, sf_dir).withColumn("source", office)

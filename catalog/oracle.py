@@ -231,6 +231,7 @@ def _mean(value: str) -> str:
     return f"ROUND({value} + 1e-7, 4)"
 
 
+_OFFICE = "CASE WHEN product_code < 'Brand#2' THEN 'ibge_pam' ELSE 'survey' END"
 _DAY = "CAST(event_date AS VARCHAR) AS event_date"
 _FULL_DAY = "CAST(full_date AS VARCHAR) AS full_date"
 
@@ -457,10 +458,16 @@ UNION ALL SELECT location_id, city, state, region, latitude, longitude FROM fres
 )
 _add(
     "dim_source",
-    OBS + LOCATIONS + "," + CROPS + ", crop_sources AS (SELECT DISTINCT source FROM crops)",
+    OBS
+    + LOCATIONS
+    + ","
+    + CROPS
+    + f", offices AS (SELECT DISTINCT {_OFFICE} AS source_name FROM crops), office_ids AS ("
+    + _bucketed("offices", ["source_name"], "source_id", "(SELECT MAX(source_id) + 1 FROM sources)")
+    + ")",
     """SELECT CAST(1 AS BIGINT) AS source_id, 'open_meteo' AS source_name, 'weather_api' AS source_type
 UNION ALL SELECT source_id, source_name, 'weather_api' FROM sources
-UNION ALL SELECT (SELECT MAX(source_id) + 1 FROM sources), source, 'agriculture_statistics' FROM crop_sources""",
+UNION ALL SELECT source_id, source_name, 'agriculture_statistics' FROM office_ids""",
 )
 _add(
     "dim_crop",
@@ -483,7 +490,8 @@ _add(
     + _bucketed("named", ["crop_code"], "crop_id")
     + """),
 keyed AS (
-  SELECT year, territory_code AS state_code, crop_id, CAST(1 AS BIGINT) AS source_id, territory_name AS state_name,
+  SELECT year, territory_code AS state_code, crop_id,
+         CAST(CASE WHEN product_code < 'Brand#2' THEN 1 ELSE 2 END AS BIGINT) AS source_id, territory_name AS state_name,
          produced_quantity, production_value, harvested_area, reported_yield_kg_ha, reported_yield_t_ha,
          CAST(ROUND(CAST(calculated_yield_t_ha AS DECIMAL(28, 9)), 4) AS DOUBLE) AS calculated_yield_t_ha
   FROM crops JOIN crop ON crop_code = product_code

@@ -28,7 +28,7 @@ from catalog import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-LOADED_AT = dt.datetime(2024, 2, 1)
+LOADED_AT = "2024-02-01 00:00:00"
 
 
 def query(build: Query) -> Query:
@@ -248,7 +248,7 @@ def _facts(spark, gold_rows, locations, sources):
     # Means of means differ between engines in the last bit; settle them before the warehouse cuts to 2 digits.
     means = {name: F.round(F.col(name) + 1e-7, 4) for name in ("avg_temperature_7d", "avg_temperature_30d")}
     staging = star.weather_staging(gold_rows.withColumns(means))
-    return star.weather_fact_rows(staging, locations, sources, F.lit(LOADED_AT))
+    return star.weather_fact_rows(staging, locations, sources, F.lit(LOADED_AT).cast("timestamp"))
 
 
 @query
@@ -276,7 +276,8 @@ def dim_location(spark, sf):
 @query
 def dim_source(spark, sf):
     known = _sources(spark, _staging_of(fx.obs(spark, sf)))
-    return star.merge_sources(known, star.agriculture_staging(fx.crops(spark, sf)), star.AGRICULTURE_SOURCE_TYPE)
+    staging = star.agriculture_staging(fx.sourced_crops(spark, sf))
+    return star.merge_sources(known, staging, star.AGRICULTURE_SOURCE_TYPE)
 
 
 @query
@@ -293,11 +294,12 @@ def fact_weather(spark, sf):
 
 @query
 def fact_agri(spark, sf):
-    staging = star.agriculture_staging(fx.crops(spark, sf))
+    staging = star.agriculture_staging(fx.sourced_crops(spark, sf))
     products = fx.table(spark, sf, "part").select(F.col("p_brand").alias("product_code"), F.col("p_brand").alias("product_name"))
     crops = star.merge_crops(_empty(spark, DIM_CROP), products)
-    sources = spark.createDataFrame([(1, "ibge_pam", star.AGRICULTURE_SOURCE_TYPE)], DIM_SOURCE)
-    rows = star.agriculture_fact_rows(staging, crops, sources, F.lit(LOADED_AT))
+    offices = enumerate(("ibge_pam", "survey"), start=1)
+    sources = spark.createDataFrame([(i, name, star.AGRICULTURE_SOURCE_TYPE) for i, name in offices], DIM_SOURCE)
+    rows = star.agriculture_fact_rows(staging, crops, sources, F.lit(LOADED_AT).cast("timestamp"))
     return fx.compared(star.merge_agriculture_facts(_empty(spark, FACT_AGRICULTURE), rows))
 
 
@@ -311,7 +313,7 @@ def fact_upsert(spark, sf):
         {"avg_temperature": F.col("avg_temperature") + 1, "avg_humidity": F.lit(None).cast("double")}
     )
     first = star.merge_weather_facts(_empty(spark, FACT_WEATHER), _facts(spark, early, locations, sources))
-    later = _facts(spark, late, locations, sources).withColumn("loaded_at", F.lit(dt.datetime(2024, 2, 2)))
+    later = _facts(spark, late, locations, sources).withColumn("loaded_at", F.lit("2024-02-02 00:00:00").cast("timestamp"))
     merged = star.merge_weather_facts(first, later)
     kept = ["weather_fact_id", "date_id", "location_id", "source_id", "avg_temperature", "avg_humidity", "loaded_at"]
     return fx.compared(merged.select(*kept))
