@@ -111,3 +111,16 @@ def test_dataset_metrics(store):
     store.append_dataset_metric("run-1", "weather", "bronze", 9, records_rejected=3)
     row = store.dataset_metrics().first()
     assert (row["layer"], row["records"], row["status"], row["extra"]) == ("bronze", 9, "success", {"records_rejected": "3"})
+
+
+def test_staging_goes_to_the_shared_folder_of_the_cluster():
+    from types import SimpleNamespace
+
+    from agrilake.config import LakeConfig
+
+    def session(settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: settings.get(key, default)))
+
+    config = LakeConfig("/lake/")
+    assert config.staging_root(session({})) == "/lake/_staging"
+    assert config.staging_root(session({"spark.checkpoint.dir": "hdfs://shared/points/"})) == "hdfs://shared/points"
