@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrilake.llm import byte_gru, hash_tree, lattice, string_svm, swap_packing, tag_paths, token_coder
+from agrilake.llm import byte_gru, divergence, hash_tree, lattice, string_svm, swap_packing, tag_paths, token_coder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op1_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score_texts(_table(spark, sf_dir, "documents"), fold(10) != 0, _vocabulary("piece_bpe_32k.model"))
 
 
+def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(_table(spark, sf_dir, "documents"))
+
+
 def op3_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     net = byte_gru.fit(docs, fold(4) != 2)
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_lattice_likelihood,
+        op2_divergence,
         op3_byte_gru,
         op5_string_svm,
         op6_hash_tree,
