@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrilake.llm import byte_gru, divergence, hash_tree, lattice, string_svm, swap_packing, tag_paths, token_coder
+from agrilake.llm import adaptive_join, byte_gru, divergence, hash_tree, lattice, phrase_index, string_svm, swap_packing, tag_paths, token_coder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,11 @@ def op3_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_gru.predict(held, net).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return phrase_index.decontaminate(docs, items).drop("key")
+
+
 def op5_string_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     machine = string_svm.fit(docs, _table(spark, sf_dir, "labels"), fold(5) != 0)
@@ -64,6 +69,10 @@ def op7_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return swap_packing.pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op8_adaptive_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adaptive_join.link(_table(spark, sf_dir, "documents"))
+
+
 def op9_context_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_coder.round_trip(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
@@ -78,9 +87,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_lattice_likelihood,
         op2_divergence,
         op3_byte_gru,
+        op4_phrase_index,
         op5_string_svm,
         op6_hash_tree,
         op7_swap_packing,
+        op8_adaptive_join,
         op9_context_coder,
         op10_tag_paths,
     )
