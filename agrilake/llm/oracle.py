@@ -33,7 +33,7 @@ _LINKS = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, coalesce(regexp_extract_all({text}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 sets AS (
-  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), s -> hash(w[s:s + 4])))) AS g
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda s: hash(w[s:s + 4])))) AS g
   FROM words WHERE len(w) > 0),
 classes AS (SELECT min(doc_id) AS rep, g FROM sets GROUP BY g),
 tokens AS (SELECT rep, len(g) AS n, unnest(g) AS t FROM classes),
