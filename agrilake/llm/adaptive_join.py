@@ -224,7 +224,10 @@ def sets_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """token, k, n and m: the shared shingles within every set's adaptive prefix."""
+    """token, pos, k, n, m and weight: the shared shingles within every set's adaptive prefix, and their places in it.
+
+    The weight, how common the set's shingles are on average, is largest for what copies have been made of.
+    """
     each = sets.select("k", "n", F.explode("hashes").alias("token"))
     times = each.groupBy("token").agg(F.count("*").alias("df")).where(F.col("df") > 1)
     ordered = each.join(times, "token").groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
@@ -237,8 +240,12 @@ def prefixes(sets: DataFrame) -> DataFrame:
         cost = postings * (1 + 2.0 / m)  # reading the lists, and comparing those found m times
         options.append(F.when((need >= m) & (within(m) >= m), F.struct(cost.alias("cost"), F.lit(m).alias("m"))))
     best = ordered.withColumn("m", F.array_min(F.filter(F.array(*options), lambda x: x.isNotNull()))["m"]).where(F.col("m").isNotNull())
-    cut = best.select("k", "n", "m", F.slice("t", F.lit(1), F.greatest(F.size("t") - need + F.col("m"), F.lit(0))).alias("t"))
-    return cut.select(F.explode("t.token").alias("token"), "k", "n", "m")
+    weight = F.aggregate("t", F.lit(0.0), lambda a, x: a + F.log2(x["df"].cast("double"))) / F.col("n")
+    alone = (F.col("n") - F.size("t")).alias("alone")
+    cut = best.select("k", "n", "m", alone, weight.cast("float").alias("weight"), F.slice("t", F.lit(1), F.greatest(F.size("t") - need + F.col("m"), F.lit(0))).alias("t"))
+    return cut.select(F.posexplode("t.token").alias("at", "token"), "alone", "k", "n", "m", "weight").select(
+        "token", (F.col("alone") + F.col("at") + 1).alias("pos"), "k", "n", "m", "weight"
+    )
 
 
 def _close(a: str, b: str):
@@ -280,35 +287,63 @@ def groups(sets: DataFrame) -> DataFrame:
     """k and label of every set that has postings: equal labels for connected sets."""
     lists = stored(prefixes(sets), "prefixes")
     labels = stored(lists.select("k").distinct().select("k", F.col("k").alias("label")), "set-labels")
+    barren = 0
     for turn in range(PIVOTS + 1):
         # lists whose members aren't all joined yet
-        marked = lists.join(labels, "k")
-        mixed = marked.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
-        lists = stored(lists.join(mixed.select("token"), "token", "left_semi"), "prefixes")
+        mixed = lists.join(labels, "k").groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
+        lists = stored(lists.join(mixed.where("l0 <> l1").select("token"), "token", "left_semi"), "prefixes")
         if lists.isEmpty():
             break
         marked = lists.join(labels, "k")
-        if turn < PIVOTS:
-            chosen = F.min(F.struct(F.xxhash64("k", F.lit(turn)).alias("h"), "k", "n", "label")).alias("p")
-            pivots = lists.join(labels, "k").groupBy("token").agg(chosen).select("token", "p.*")
-            pivots = pivots.select("token", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-            asked = marked.join(pivots, "token").where((F.col("label") != F.col("lb")) & _close("n", "nb"))
-            counted = asked.groupBy(F.col("k").alias("a"), "b").agg(F.count("*").alias("c"))
-            best = counted.groupBy("a").agg(F.max(F.struct("c", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-            links = stored(verified(best, sets), "set-links")
-            done = links.isEmpty()
-        if turn == PIVOTS or done:
-            # every pair that is still apart and shares enough of both prefixes
-            left = marked.select("token", *[F.col(c).alias(f"{c}_a") for c in ("k", "n", "m", "label")])
-            right = marked.select("token", *[F.col(c).alias(f"{c}_b") for c in ("k", "n", "m", "label")])
-            apart = (F.col("k_a") < F.col("k_b")) & (F.col("label_a") != F.col("label_b")) & _close("n_a", "n_b")
-            pairs = left.join(right, "token").where(apart).groupBy("k_a", "k_b", F.least("m_a", "m_b").alias("m")).agg(F.count("*").alias("c"))
-            pairs = pairs.where(F.col("c") >= F.col("m")).select(F.col("k_a").alias("a"), F.col("k_b").alias("b"))
-            return merged(labels, stored(verified(pairs, sets), "set-links"))
+        if turn == PIVOTS or barren == 2:
+            return merged(labels, stored(verified(_all_apart(marked), sets), "set-links"))
+        links = stored(verified(_with_pivots(marked, turn), sets), "set-links")
+        barren = barren + 1 if links.isEmpty() else 0
         labels = merged(labels, links)
     return labels
 
 
+def _with_pivots(marked: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of sets and pivots of their lists: for each set those three that it shares most lists with.
+
+    The first pivot of a list is its most central set; later ones are drawn, central ones more often.
+    """
+    luck = F.pow((F.pmod(F.xxhash64("k", F.lit(turn)), F.lit(1 << 20)) + 0.5) / float(1 << 20), F.lit(0.5 if turn else 0.0))
+    chosen = F.max(F.struct((F.col("weight") * luck).alias("h"), "k", "n", "label")).alias("p")
+    pivots = marked.groupBy("token").agg(chosen).select("token", "p.*")
+    pivots = pivots.select("token", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    asked = marked.join(pivots, "token").where((F.col("label") != F.col("lb")) & _close("n", "nb"))
+    counted = asked.groupBy(F.col("k").alias("a"), "b").agg(F.count("*").alias("c"))
+    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("c"), "b"))
+    return counted.withColumn("rank", rank).where(F.col("rank") <= 3).select("a", "b")
+
+
+def _all_apart(marked: DataFrame) -> DataFrame:
+    """All pairs (a, b) of sets in different groups that share enough of both prefixes.
+
+    Similar sets share 3/7 of the sum of their sizes or more. If a shingle is the first that they share, they share no
+    more than what follows it in either; some shingle of a pair must pass this. Beyond the prefix that ends first in the
+    order, a pair can share no more than that set's rest: so much must come from the prefixes, and as much as the
+    smaller m.
+    """
+    columns = ("k", "n", "m", "label", "pos")
+    left = marked.select("token", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = marked.select("token", *[F.col(c).alias(f"{c}_b") for c in columns])
+    least = F.ceil(3 * (F.col("n_a") + F.col("n_b")) / 7)
+    apart = (F.col("k_a") < F.col("k_b")) & (F.col("label_a") != F.col("label_b")) & _close("n_a", "n_b")
+    apart = apart & (F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + 1 >= least)
+    key = ["k_a", "k_b", "n_a", "n_b", "m_a", "m_b"]
+    pairs = left.join(right, "token").where(apart).select(*key).distinct()
+    # tokens whose lists aren't all joined: any that two sets of different groups share is among them
+    own = stored(marked.groupBy("k").agg(F.collect_list("token").alias("t")), "mixed-prefixes")
+    pairs = pairs.join(own.select(F.col("k").alias("k_a"), F.col("t").alias("t_a")), "k_a")
+    pairs = pairs.join(own.select(F.col("k").alias("k_b"), F.col("t").alias("t_b")), "k_b")
+    rest = F.greatest(*[F.floor((3 * F.col(f"n_{x}") + 3) / 4) - F.col(f"m_{x}") for x in "ab"])
+    enough = F.greatest(F.least("m_a", "m_b").cast("long"), least - rest)
+    kept = pairs.where(F.size(F.array_intersect("t_a", "t_b")) >= enough)
+    return kept.select(F.col("k_a").alias("a"), F.col("k_b").alias("b"))
+
+
 def link(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable by links, of every row."""
     rows = stored(described(docs), "shingle-rows")
