@@ -38,6 +38,7 @@ UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 BEGIN = "▁"
 COMMON, COMMON_BYTES = 100_000, 48
 REMEMBERED = 400_000
+LONGEST_PIECE = 32  # characters; longer pieces are not used
 LN10 = math.log(10)
 
 
@@ -75,9 +76,16 @@ class Weights:
     byte: list[float]
 
     def __post_init__(self) -> None:
-        self.longest = max(map(len, self.piece), default=1)
-        # pieces of a letter's beginnings end the search for longer ones early
-        self.starts = {p[:n] for p in self.piece for n in range(1, len(p))}
+        # letter by letter; a node's weight stands under the empty text
+        self.root: dict = {}
+        for text, weight in self.piece.items():
+            node = self.root
+            for char in text:
+                node = node.setdefault(char, {})
+            node[""] = weight
+
+    def __reduce__(self) -> tuple:
+        return Weights, (self.piece, self.byte)
 
 
 def weights_from(counts: dict[int, float], vocabulary: Vocabulary, smooth: float = 0.1) -> Weights:
@@ -86,26 +94,31 @@ def weights_from(counts: dict[int, float], vocabulary: Vocabulary, smooth: float
     byte = [0.0] * 256
     for i, b in vocabulary.byte.items():
         byte[b] = log[i]
-    return Weights({vocabulary.pieces[i]: p for i, p in log.items() if i not in vocabulary.byte}, byte)
+    pieces = {vocabulary.pieces[i]: p for i, p in log.items() if i not in vocabulary.byte}
+    return Weights({t: p for t, p in pieces.items() if len(t) <= LONGEST_PIECE}, byte)
 
 
 def word_log(word: str, weights: Weights) -> float:
     """Natural log of the summed probability of all segmentations of BEGIN + word."""
     text = BEGIN + word.replace(BEGIN, "\x00") if BEGIN in word else BEGIN + word
     n = len(text)
-    piece, starts, exp, log1p = weights.piece, weights.starts, math.exp, math.log1p
+    root, exp, log1p = weights.root, math.exp, math.log1p
     alpha: list[float | None] = [None] * (n + 1)
     alpha[0] = 0.0
     for i in range(n):
         here = alpha[i]
         if here is None:
             continue
-        spelled = False
-        for j in range(i + 1, min(n, i + weights.longest) + 1):
-            part = text[i:j]
-            weight = piece.get(part)
+        spelled, node, j = False, root, i
+        for char in text[i : i + LONGEST_PIECE]:
+            node = node.get(char)
+            if node is None:
+                break
+            j += 1
+            weight = node.get("")
             if weight is not None:
-                spelled = spelled or j == i + 1
+                if j == i + 1:
+                    spelled = True
                 new, old = here + weight, alpha[j]
                 if old is None:
                     alpha[j] = new
@@ -113,8 +126,6 @@ def word_log(word: str, weights: Weights) -> float:
                     alpha[j] = new + log1p(exp(old - new))
                 else:
                     alpha[j] = old + log1p(exp(new - old))
-            if part not in starts:
-                break
         if not spelled:  # no piece for this character: its bytes
             char = BEGIN if text[i] == "\x00" and word[i - 1] == BEGIN else text[i]
             new = here + sum(weights.byte[b] for b in char.encode("utf-8", "surrogatepass"))
