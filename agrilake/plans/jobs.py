@@ -93,7 +93,8 @@ def ingest_weather(
 
     seconds = time.perf_counter() - started
     rejected = extracted - valid
-    store.record_success(WEATHER_JOB, WEATHER_SOURCE, end, valid, seconds)
+    if extracted:  # the mark stays where it is while nothing has landed
+        store.record_success(WEATHER_JOB, WEATHER_SOURCE, end, valid, seconds)
     store.append_dataset_metric(
         execution_id, "weather", "bronze", valid, records_extracted=extracted, records_rejected=rejected
     )
@@ -110,7 +111,7 @@ def ingest_weather(
         "records_extracted": extracted,
         "records_valid": valid,
         "records_rejected": rejected,
-        "last_ingested_date": end.isoformat(),
+        "last_ingested_date": end.isoformat() if extracted else last,
     }
 
 

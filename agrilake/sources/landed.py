@@ -25,9 +25,9 @@ _PLACE = T.StructType([T.StructField("city", T.StringType()), T.StructField("sta
 
 
 def read_weather_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """One row per payload with its place (from the directory names) and file."""
+    """One row per payload with its place (from the directory names) and file; a payload that is no JSON is an error."""
     schema = T.StructType(WEATHER_PAYLOAD.fields + _PLACE.fields)
-    payloads = spark.read.schema(schema).option("multiLine", True).json(path)
+    payloads = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
     return payloads.withColumn("payload_file", F.col("_metadata.file_path"))
 
 
@@ -60,9 +60,12 @@ def weather_records(payloads: DataFrame, locations: DataFrame, payload_order: Co
 
 
 def read_statistics_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of all landed statistics payloads; the first element of each array is its header, not a row."""
+    """Rows of all landed statistics payloads; the first element of each array is its header, not a row.
+
+    A payload that is no JSON array is an error, as a delivery that can't be read would be lost without a word.
+    """
     arrays = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
-        F.from_json("value", STATISTICS_PAYLOAD).alias("rows")
+        F.from_json("value", STATISTICS_PAYLOAD, {"mode": "FAILFAST"}).alias("rows")
     )
     return arrays.select(F.posexplode("rows").alias("_place", "row")).where(F.col("_place") > 0).select("row.*")
 

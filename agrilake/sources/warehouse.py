@@ -8,6 +8,7 @@ periods its batch touches and lists the directories of all others again.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,14 +92,15 @@ class Warehouse:
     def stage(self, table: str, df: DataFrame, version: int, periods: set[str] | None = None) -> dict[str, str]:
         """Write rows for a coming version; nobody sees them before the commit. Returns period -> directory.
 
-        ``periods`` are the periods of ``df``, needed for fact tables.
+        ``periods`` are the periods of ``df``, needed for fact tables. Every call has a directory of its own: a load
+        that is refused later has touched nothing that another one, on the same base, may have committed.
         """
-        target = f"{self.root}/{table}/version={version}"
+        target = f"{self.root}/{table}/version={version}-{uuid.uuid4().hex}"
         if table not in PERIODS:
-            df.write.mode("overwrite").parquet(target)
+            df.write.mode("errorifexists").parquet(target)
             return {WHOLE: target}
         dated = df.withColumn(PERIOD, F.expr(PERIODS[table]))
-        dated.hint("rebalance", F.col(PERIOD)).write.mode("overwrite").partitionBy(PERIOD).parquet(target)
+        dated.hint("rebalance", F.col(PERIOD)).write.mode("errorifexists").partitionBy(PERIOD).parquet(target)
         return {period: f"{target}/{PERIOD}={period}" for period in periods or ()}
 
     def periods_of(self, table: str, df: DataFrame) -> set[str]:

@@ -2,29 +2,38 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from agrilake.config import Thresholds
-from agrilake.operators.silver import weather_silver
+from agrilake.operators.silver import deduplicate_weather, weather_silver
 from agrilake.schemas import BRONZE_WEATHER, SILVER_WEATHER
-from agrilake.sources.lake import append_by_month
+from agrilake.sources import lake
 from agrilake.sources.reading import read_layer
 
-def append_new_records(bronze: DataFrame, silver_path: str, limits: Thresholds | None = None) -> None:
-    """Append the silver rows whose record id the silver layer does not have yet.
+_PARTITION = ["year", "month", "state"]
+
+
+def merge_records(bronze: DataFrame, silver_path: str, limits: Thresholds | None = None) -> None:
+    """Merge a batch into silver: of all rows of a record id, in silver or in the batch, the newest run's stays.
 
-    Replaying a batch appends nothing twice, so the stream may repeat a batch after a failure. Only the months of
-    the batch are compared; their list is bounded by the calendar.
+    So a stream ends where a batch over the same bronze files ends, and replaying a batch changes nothing. Only the
+    months and states of the batch are read and replaced. The merged rows are written beside silver first, as a
+    dataset can't be replaced while it is read.
     """
     spark = bronze.sparkSession
-    day = F.to_date(F.col("timestamp").try_cast("timestamp_ntz"))
-    months = [row[0] for row in bronze.select(F.year(day) * 100 + F.month(day)).distinct().collect() if row[0]]
-    silver = weather_silver(bronze, limits).select(*SILVER_WEATHER.fieldNames())
-    month = F.col("year") * 100 + F.col("month")
-    known = read_layer(spark, silver_path, SILVER_WEATHER).where(month.isin(months)).select("weather_record_id")
-    append_by_month(silver.join(known, "weather_record_id", "left_anti"), silver_path)
+    columns = SILVER_WEATHER.fieldNames()
+    beside = f"{silver_path.rstrip('/')}_merging/{uuid.uuid4().hex}"
+    fresh = weather_silver(bronze, limits).select(*columns)
+    lake.write_whole(fresh, f"{beside}/batch")
+    fresh = spark.read.schema(SILVER_WEATHER).parquet(f"{beside}/batch")
+    touched = fresh.select(*_PARTITION).distinct()
+    held = read_layer(spark, silver_path, SILVER_WEATHER).select(*columns).join(touched, _PARTITION, "left_semi")
+    merged = deduplicate_weather(held.select(*columns).unionByName(fresh))
+    lake.write_whole(merged, f"{beside}/merged")
+    lake.write_by_month(spark.read.schema(SILVER_WEATHER).parquet(f"{beside}/merged"), silver_path)
 
 
 def start_silver_stream(
@@ -38,7 +47,7 @@ def start_silver_stream(
     bronze = spark.readStream.schema(BRONZE_WEATHER).parquet(bronze_path).select(*BRONZE_WEATHER.fieldNames())
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        append_new_records(batch, silver_path, limits)
+        merge_records(batch, silver_path, limits)
 
     return (
         bronze.writeStream.foreachBatch(merge)

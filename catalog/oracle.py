@@ -265,7 +265,7 @@ _add(
        CAST(CAST(typed.event_timestamp AS DATE) AS VARCHAR) AS event_date,
        CAST(year(typed.event_timestamp) AS INTEGER) AS year, CAST(month(typed.event_timestamp) AS INTEGER) AS month,
        latitude, temperature_2m, wind_speed_kmh
-FROM typed WHERE typed.event_timestamp IS NOT NULL""",
+FROM typed""",
 )
 _add("record_id", RAW, "SELECT seq, weather_record_id FROM typed")
 _add("silver_filter", RAW, "SELECT seq, city, relative_humidity_2m, precipitation_mm, wind_speed_kmh FROM valid")

@@ -68,7 +68,7 @@ _on_readings("risk_level", lambda r: r.select("full_date", "city", "state", "ris
 def typed_cast(spark, sf):
     typed = silver.typed_weather(fx.obs_raw(spark, sf))
     kept = ["event_timestamp", "event_date", "year", "month", "latitude", "temperature_2m", "wind_speed_kmh"]
-    return fx.compared(typed.where(F.col("event_date").isNotNull()).select("seq", *kept))
+    return fx.compared(typed.select("seq", *kept))
 
 
 @query

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from agrilake.sources.landed import (
     read_statistics_rows,
     read_weather_payloads,
@@ -78,3 +80,15 @@ def test_reference_data(spark, tmp_path):
     own = tmp_path / "products.csv"
     own.write_text("source,source_table,product_code,product_name,crop_type\nother,1,9,Uva,permanent\nibge_pam,1,8,Milho,temporary\n")
     assert [r["product_code"] for r in read_products(spark, str(own)).collect()] == ["8"]
+
+
+def test_unreadable_payloads_are_errors(spark, tmp_path):
+    weather, crops = tmp_path / "weather" / "city=A" / "state=MT", tmp_path / "crops"
+    weather.mkdir(parents=True)
+    crops.mkdir()
+    (weather / "a.json").write_text('{"hourly": {"time": ["2026-08')
+    (crops / "b.json").write_text('[{"D1C": ')
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        read_weather_payloads(spark, str(tmp_path / "weather")).collect()
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        read_statistics_rows(spark, str(crops)).collect()

@@ -106,6 +106,18 @@ def test_commit_refuses_a_stale_base(spark, tmp_path):
         Warehouse(spark, root).commit(Snapshot(0, {}, {}), {})
 
 
+def test_a_refused_load_leaves_committed_rows_alone(spark, tmp_path):
+    """Two loads on one base: the second stages after the first has committed, and is refused."""
+    warehouse = Warehouse(spark, str(tmp_path))
+    base = warehouse.snapshot()
+    winner = warehouse.stage("dim_crop", spark.createDataFrame([(1, "a", "A")], DIM_CROP), base.version + 1)
+    warehouse.commit(base, {"dim_crop": winner})
+    loser = warehouse.stage("dim_crop", spark.createDataFrame([(1, "b", "B")], DIM_CROP), base.version + 1)
+    with pytest.raises(WarehouseLoadError, match="another load"):
+        warehouse.commit(base, {"dim_crop": loser})
+    assert [r["crop_code"] for r in warehouse.read("dim_crop").collect()] == ["a"]
+
+
 def test_older_files_gain_columns(spark, tmp_path):
     """A fact written before the rolling measures existed reads with nulls in their place."""
     root, old = str(tmp_path), [f for f in FACT_WEATHER.fieldNames() if "accumulated" not in f]
