@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrilake.llm.scratch import stored
-from agrilake.llm.tokens import WordEncoder, as_ids
+from agrilake.llm.tokens import as_ids, encoder_of
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Pieces packed together in the first round and, about, in the second.
@@ -166,7 +166,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     """Every document's ids, end id last, as pieces of at most `capacity` ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer, joined=True)
+        encoder = encoder_of(tokenizer, joined=True)
         end = np.array([end_id], "<u4")
         for batch in batches:
             rows: list[tuple] = []

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agrilake.llm.scratch import new_path
-from agrilake.llm.tokens import WordEncoder, as_ids
+from agrilake.llm.tokens import as_ids, encoder_of
 
 MAGIC = b"AMC1"
 HEAD = struct.Struct("<4sIIIIII")  # magic, vocabulary, ids, documents, lanes, checksum of ids, checksum of the rest
@@ -236,7 +236,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer, joined=False)
+        encoder = encoder_of(tokenizer, joined=False)
         vocabulary = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         part, before, number = TaskContext.get().partitionId(), 0, 0
         names: list[int | None] = []
