@@ -12,6 +12,8 @@ from agrilake.schemas import AGRICULTURE_KEYS, AGRICULTURE_METRICS, SILVER_AGRIC
 
 FIRST_YEAR, LAST_YEAR = 1974, 2100
 STATISTIC_KEY = ["year", "territory_code", "metric_code", "product_code"]
+#: Place of a row within one run's deliveries, where bronze has it.
+_DELIVERY = ["payload_file", "payload_row"]
 _TRIMMED = [
     "territory_code",
     "territory_name",
@@ -33,19 +35,21 @@ def typed_statistics(bronze: DataFrame) -> DataFrame:
     columns = {name: F.trim(F.col(name).cast("string")) for name in _TRIMMED}
     columns["year"] = F.when(year == F.floor(year), year).try_cast("int")
     columns["value"] = null_if_nan(F.col("value").try_cast("double"))
-    return named.select(*[columns.get(name, F.col(name)).alias(name) for name in SILVER_AGRICULTURE.fieldNames()])
+    kept = [*SILVER_AGRICULTURE.fieldNames(), *[c for c in _DELIVERY if c in named.columns]]
+    return named.select(*[columns.get(name, F.col(name)).alias(name) for name in kept])
 
 
 def agriculture_silver(bronze: DataFrame) -> DataFrame:
-    """Typed, valid statistics; the last delivered value of a key wins."""
+    """Typed, valid statistics; of a key, the newest run's last file and last row in it win."""
     typed = typed_statistics(bronze)
     valid = typed.dropna(subset=STATISTIC_KEY).where(
         F.col("year").between(FIRST_YEAR, LAST_YEAR)
         & F.col("metric_code").isin(*AGRICULTURE_METRICS)
         & (F.col("product_name") != "")
     )
-    order = [*newest_run_first(valid), F.col("value").desc_nulls_last()]
-    return latest_per_key(valid, STATISTIC_KEY, order)
+    delivered = [F.col(c).desc_nulls_last() for c in _DELIVERY if c in valid.columns]
+    order = [*newest_run_first(valid), *delivered, F.col("value").desc_nulls_last()]
+    return latest_per_key(valid, STATISTIC_KEY, order).drop(*_DELIVERY)
 
 
 def agriculture_gold(silver: DataFrame) -> DataFrame:

@@ -63,11 +63,9 @@ def _top(df: DataFrame, by: str, ties: Sequence[str], k: int | None) -> DataFram
     return ordered if k is None else ordered.limit(k)
 
 
-def at_latest(df: DataFrame, column: str, among: DataFrame | None = None) -> DataFrame:
-    """Rows at the largest value of ``column``. The maximum is a scalar subquery, so the filter can reach the
-    scan; ``among`` names a cheaper frame with the same maximum, such as the hourly rows behind a daily one."""
-    latest = (df if among is None else among).agg(F.max(column)).scalar()
-    return df.where(F.col(column) == latest)
+def at_latest(df: DataFrame, column: str) -> DataFrame:
+    """Rows at the largest value of ``column``. The maximum is a scalar subquery, so the filter can reach the scan."""
+    return df.where(F.col(column) == df.agg(F.max(column)).scalar())
 
 
 # --- readings ---------------------------------------------------------------------------------------------
@@ -258,9 +256,9 @@ def water_balance(readings: DataFrame) -> DataFrame:
     )
 
 
-def temperature_ranking(readings: DataFrame, k: int | None = None, among: DataFrame | None = None) -> DataFrame:
+def temperature_ranking(readings: DataFrame, k: int | None = None) -> DataFrame:
     """Cities of the latest day, hottest first, with label, display text and band."""
-    latest = at_latest(readings, "full_date", among)
+    latest = at_latest(readings, "full_date")
     ranked = latest.groupBy(*CITY).agg(
         F.avg("avg_temperature").alias("avg_temperature"), F.max("max_temperature").alias("max_temperature")
     )
@@ -281,9 +279,9 @@ def rolling_3d(readings: DataFrame) -> DataFrame:
     return rolling_rows(readings, ["city"], "full_date", ties, three)
 
 
-def trend_top_cities(readings: DataFrame, k: int = 6, among: DataFrame | None = None) -> DataFrame:
+def trend_top_cities(readings: DataFrame, k: int = 6) -> DataFrame:
     """The smoothed series of the k cities that are hottest on the latest day. k bounds the broadcast."""
-    hottest = temperature_ranking(readings, k, among).select("city").distinct()
+    hottest = temperature_ranking(readings, k).select("city").distinct()
     # Smoothing belongs to one city, so choosing the cities first changes nothing but the work.
     chosen = readings.join(F.broadcast(hottest), "city", "left_semi")
     return rolling_3d(chosen).orderBy("city", "full_date")
@@ -315,9 +313,9 @@ def city_rain(readings: DataFrame, k: int | None = 15) -> DataFrame:
     return _top(rain, "chuva_total", CITY, k)
 
 
-def risk_by_state(readings: DataFrame, among: DataFrame | None = None) -> DataFrame:
+def risk_by_state(readings: DataFrame) -> DataFrame:
     """High risks of the latest day per state."""
-    latest = at_latest(readings, "full_date", among)
+    latest = at_latest(readings, "full_date")
     return latest.groupBy("state").agg(F.sum("risk_events").alias("risk_events")).orderBy("state")
 
 
@@ -348,21 +346,26 @@ def export_table(readings: DataFrame, headings: Mapping[str, str] = READING_HEAD
 # --- crop statistics --------------------------------------------------------------------------------------
 
 
-def production_by_crop(crops: DataFrame, k: int | None = 12) -> DataFrame:
-    made = crops.groupBy("product_name").agg(F.sum("produced_quantity").alias("produced_quantity"))
+def _production(crops: DataFrame, by: str, k: int | None, all_years: bool) -> DataFrame:
+    counted = crops if all_years else at_latest(crops, "year")
+    made = counted.groupBy(by).agg(F.sum("produced_quantity").alias("produced_quantity"))
     shown = made.withColumn("display", labels.millions(F.col("produced_quantity"), "M t"))
-    return _top(shown, "produced_quantity", ["product_name"], k)
+    return _top(shown, "produced_quantity", [by], k)
 
 
-def production_by_state(crops: DataFrame, k: int | None = 12) -> DataFrame:
-    made = crops.groupBy("territory_name").agg(F.sum("produced_quantity").alias("produced_quantity"))
-    shown = made.withColumn("display", labels.millions(F.col("produced_quantity"), "M t"))
-    return _top(shown, "produced_quantity", ["territory_name"], k)
+def production_by_crop(crops: DataFrame, k: int | None = 12, all_years: bool = False) -> DataFrame:
+    """Crops by production in the latest year, or in all years together."""
+    return _production(crops, "product_name", k, all_years)
+
 
+def production_by_state(crops: DataFrame, k: int | None = 12, all_years: bool = False) -> DataFrame:
+    """States by production in the latest year, or in all years together."""
+    return _production(crops, "territory_name", k, all_years)
 
-def crop_figures(crops: DataFrame, among: DataFrame | None = None) -> DataFrame:
+
+def crop_figures(crops: DataFrame) -> DataFrame:
     """One row for the latest year: year, crops, territories, total production."""
-    latest = at_latest(crops, "year", among)
+    latest = at_latest(crops, "year")
     return latest.agg(
         F.max("year").alias("year"),
         F.countDistinct("product_name").alias("crops"),
@@ -371,20 +374,18 @@ def crop_figures(crops: DataFrame, among: DataFrame | None = None) -> DataFrame:
     ).withColumn("display", labels.millions(F.col("produced_quantity"), " mi t"))
 
 
-def crop_table(
-    crops: DataFrame, headings: Mapping[str, str] = CROP_HEADINGS, among: DataFrame | None = None
-) -> DataFrame:
-    latest = at_latest(crops, "year", among)
+def crop_table(crops: DataFrame, headings: Mapping[str, str] = CROP_HEADINGS) -> DataFrame:
+    latest = at_latest(crops, "year")
     return with_headings(_top(latest, "produced_quantity", ["territory_name", "product_name"], None), headings)
 
 
 # --- crops meet climate -----------------------------------------------------------------------------------
 
 
-def climate_by_state(readings: DataFrame, among: DataFrame | None = None) -> DataFrame:
+def climate_by_state(readings: DataFrame) -> DataFrame:
     """Risk events, mean temperature and rain of the latest day per state."""
     return (
-        at_latest(readings, "full_date", among)
+        at_latest(readings, "full_date")
         .groupBy("state")
         .agg(
             F.sum("risk_events").alias("eventos_de_risco"),
@@ -398,11 +399,10 @@ def crops_with_climate(
     crops: DataFrame,
     climate: DataFrame,
     state_by_code: Mapping[str, str] = labels.STATE_BY_CODE,
-    among: DataFrame | None = None,
 ) -> DataFrame:
     """Crops of the latest year with the climate of their state. Without climate: no events, no rain, and the
     mean temperature of the crop rows that have one (so a state counts once per crop)."""
-    latest = at_latest(crops, "year", among).withColumn("state", labels.state_of(F.col("territory_code"), state_by_code))
+    latest = at_latest(crops, "year").withColumn("state", labels.state_of(F.col("territory_code"), state_by_code))
     joined = latest.join(climate, "state", "left")
     mean = joined.agg(F.avg("temperatura_media")).scalar()
     return joined.withColumns(

@@ -62,19 +62,26 @@ def ingest_weather(
     today: dt.date | None = None,
     locations: DataFrame | None = None,
 ) -> dict[str, Any]:
-    """Landed payloads of the days not ingested yet to bronze and quarantine."""
+    """Landed payloads not ingested yet to bronze and quarantine, late days too.
+
+    A file is done with once its rows are in; one with days after today, or from a place that isn't known, is read again
+    by later runs. Days before the configured first one are out of scope.
+    """
     started = time.perf_counter()
     started_at = dt.datetime.now(dt.timezone.utc).isoformat()
     store = MetadataStore(spark, config.metadata_root)
     last = store.load(WEATHER_JOB, WEATHER_SOURCE).last_ingested_date
-    start, end = next_date(last, config.initial_ingestion_date), today or dt.date.today()
-    if start > end:
-        LOG.info("nothing to ingest: %s is after %s", start, end)
+    start, end = config.initial_ingestion_date, today or dt.date.today()
+    places = read_locations(spark) if locations is None else locations
+    landed = read_weather_payloads(spark, landing_path)
+    payloads = landed.join(store.ingested_files(WEATHER_JOB), "payload_file", "left_anti")
+    if start > end or payloads.isEmpty():
+        LOG.info("nothing to ingest up to %s", end)
         return {"records_extracted": 0, "last_ingested_date": last}
 
-    payloads = read_weather_payloads(spark, landing_path)
-    records = weather_records(payloads, read_locations(spark) if locations is None else locations)
-    records = records.where(in_date_range(F.to_date(F.col("timestamp").try_cast("timestamp_ntz")), start, end))
+    records = weather_records(payloads, places).where(
+        in_date_range(F.to_date(F.col("timestamp").try_cast("timestamp_ntz")), start, end)
+    )
 
     # Judged once into a shared staging table: both outputs then read only their own half of it.
     staged = f"{config.staging_root(spark)}/weather_{execution_id}"
@@ -91,6 +98,13 @@ def ingest_weather(
         if valid < extracted:
             lake.write_quarantine(split.quarantined, config.layer("quarantine", "weather"), execution_id)
 
+    last_hour = F.array_max("hourly.time").try_cast("timestamp_ntz")
+    ended = payloads.where(F.coalesce(F.to_date(last_hour) <= F.lit(end), F.lit(True)))
+    store.append_files(WEATHER_JOB, ended.join(places, ["city", "state"], "left_semi"))
+    unknown = payloads.join(places, ["city", "state"], "left_anti").count()
+    if unknown:
+        LOG.warning("%d payloads are from places that aren't known and wait", unknown)
+
     seconds = time.perf_counter() - started
     rejected = extracted - valid
     if extracted:  # the mark stays where it is while nothing has landed

@@ -72,7 +72,9 @@ AGRICULTURE_RECORD = _struct(
 )
 BRONZE_AGRICULTURE = T.StructType(
     AGRICULTURE_RECORD.fields
-    + _struct(*_all(_S, "data_source", "ingestion_timestamp", "pipeline_execution_id")).fields
+    + _struct(
+        *_all(_S, "data_source", "ingestion_timestamp", "pipeline_execution_id", "payload_file"), ("payload_row", _I)
+    ).fields
 )
 
 SILVER_WEATHER = T.StructType(
@@ -215,6 +217,7 @@ PIPELINE_STATE = _struct(
     ("execution_time", _D),
     ("saved_at", T.TimestampType()),
 )
+INGESTED_FILES = _struct(*_all(_S, "pipeline_name", "payload_file"))
 RUN_LOG = _struct(
     *_all(_S, "pipeline_execution_id", "started_at", "finished_at"),
     ("duration_seconds", _D),

@@ -21,6 +21,8 @@ from agrilake.schemas import (
     WEATHER_RECORD,
 )
 
+#: Where a statistics row was delivered: later files, and later rows of a file, are newer.
+DELIVERY = ["payload_file", "payload_row"]
 _PLACE = T.StructType([T.StructField("city", T.StringType()), T.StructField("state", T.StringType())])
 
 
@@ -65,13 +67,17 @@ def read_statistics_rows(spark: SparkSession, path: str) -> DataFrame:
     A payload that is no JSON array is an error, as a delivery that can't be read would be lost without a word.
     """
     arrays = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
-        F.from_json("value", STATISTICS_PAYLOAD, {"mode": "FAILFAST"}).alias("rows")
+        F.from_json("value", STATISTICS_PAYLOAD, {"mode": "FAILFAST"}).alias("rows"),
+        F.col("_metadata.file_path").alias("payload_file"),
     )
-    return arrays.select(F.posexplode("rows").alias("_place", "row")).where(F.col("_place") > 0).select("row.*")
+    rows = arrays.select("payload_file", F.posexplode("rows").alias("payload_row", "row"))
+    return rows.where(F.col("payload_row") > 0).select("row.*", *DELIVERY)
 
 
 def statistics_records(rows: DataFrame, source: str = AGRICULTURE_SOURCE) -> DataFrame:
-    renamed = rows.select(*[F.col(field).alias(name) for field, name in STATISTICS_FIELDS.items()])
+    """Named fields of the rows, and where they were delivered if the rows tell."""
+    delivery = [c for c in DELIVERY if c in rows.columns]
+    renamed = rows.select(*[F.col(field).alias(name) for field, name in STATISTICS_FIELDS.items()], *delivery)
     return renamed.withColumns({"value": parse_statistic(F.col("value")), "source": F.lit(source)}).select(
-        *AGRICULTURE_RECORD.fieldNames()
+        *AGRICULTURE_RECORD.fieldNames(), *delivery
     )

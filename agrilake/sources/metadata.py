@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agrilake.operators.silver import latest_per_key
-from agrilake.schemas import DATASET_METRICS, PIPELINE_STATE, RUN_LOG
+from agrilake.schemas import DATASET_METRICS, INGESTED_FILES, PIPELINE_STATE, RUN_LOG
 from agrilake.sources.reading import read_or_none
 
 _STATE_KEY = ["pipeline_name", "source"]
@@ -72,6 +72,15 @@ class MetadataStore:
         now, day = _now().isoformat(), last_ingested.isoformat()
         self.save(PipelineState(pipeline_name, source, now, day, records, "success", seconds))
 
+    def ingested_files(self, pipeline_name: str) -> DataFrame:
+        """Files that a pipeline is done with."""
+        log = self._read("ingested_files", INGESTED_FILES)
+        return log.where(F.col("pipeline_name") == pipeline_name).select("payload_file").distinct()
+
+    def append_files(self, pipeline_name: str, files: DataFrame) -> None:
+        entries = files.select(F.lit(pipeline_name).alias("pipeline_name"), "payload_file").distinct()
+        entries.write.mode("append").json(f"{self.root}/ingested_files")
+
     def append_run(self, execution_id: str, **figures: Any) -> None:
         self._append("runs", RUN_LOG, {"pipeline_execution_id": execution_id, **figures})
 

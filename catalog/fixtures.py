@@ -186,11 +186,6 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_risk(gold(spark, sf_dir).withColumnRenamed("event_date", "full_date"))
 
 
-def days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The days behind ``readings`` without computing them: for latest-day filters."""
-    return table(spark, sf_dir, "events").select(F.to_date("ts").alias("full_date"))
-
-
 def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     # No hints: part and supplier grow with the data, so Spark broadcasts or shuffles them by their size.
     return (
@@ -255,11 +250,6 @@ def agri_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", text.alias("value_text"))
 
 
-def years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The years behind ``crops`` without computing them: for latest-year filters."""
-    return table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"))
-
-
 def crops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agriculture_gold(agri_long(spark, sf_dir))
 

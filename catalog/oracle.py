@@ -418,14 +418,15 @@ _add(
     CROPS,
     f"SELECT * REPLACE ({_mean('calculated_yield_t_ha')} AS calculated_yield_t_ha) FROM crops",
 )
-for _name, _by, _k in (("prod_by_crop", "product_name", 12), ("prod_by_state", "territory_name", 12)):
-    _add(
-        _name,
-        CROPS,
-        f"""SELECT {_by}, SUM(produced_quantity) AS produced_quantity,
+for _name, _by in (("prod_by_crop", "product_name"), ("prod_by_state", "territory_name")):
+    for _suffix, _years in (("", ""), ("_latest", "WHERE year = (SELECT MAX(year) FROM crops)")):
+        _add(
+            _name + _suffix,
+            CROPS,
+            f"""SELECT {_by}, SUM(produced_quantity) AS produced_quantity,
        printf('%.1f', round_even(SUM(produced_quantity) / 1e6, 1)) || 'M t' AS display
-FROM crops GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {_k}""",
-    )
+FROM crops {_years} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 12""",
+        )
 _add(
     "agri_kpi",
     CROPS,

@@ -111,7 +111,7 @@ def incremental_slice(spark, sf):
 
 @query
 def latest_points(spark, sf):
-    latest = reports.at_latest(fx.readings(spark, sf), "full_date", fx.days(spark, sf))
+    latest = reports.at_latest(fx.readings(spark, sf), "full_date")
     kept = ["full_date", "city", "state", "latitude", "longitude", "total_precipitation", "risk_level"]
     return fx.compared(latest.select(*kept))
 
@@ -193,23 +193,33 @@ def agri_gold(spark, sf):
 
 @query
 def prod_by_crop(spark, sf):
+    return reports.production_by_crop(fx.crops(spark, sf), all_years=True)
+
+
+@query
+def prod_by_crop_latest(spark, sf):
     return reports.production_by_crop(fx.crops(spark, sf))
 
 
 @query
 def prod_by_state(spark, sf):
+    return reports.production_by_state(fx.crops(spark, sf), all_years=True)
+
+
+@query
+def prod_by_state_latest(spark, sf):
     return reports.production_by_state(fx.crops(spark, sf))
 
 
 @query
 def agri_kpi(spark, sf):
-    return reports.crop_figures(fx.crops(spark, sf), fx.years(spark, sf))
+    return reports.crop_figures(fx.crops(spark, sf))
 
 
 @query
 def crop_table(spark, sf):
     same_names = {name: name for name in ("year", "territory_name", "product_name", "produced_quantity", "harvested_area")}
-    return reports.crop_table(fx.crops(spark, sf), same_names, fx.years(spark, sf))
+    return reports.crop_table(fx.crops(spark, sf), same_names)
 
 
 # --- star schema ------------------------------------------------------------------------------------------
@@ -366,7 +376,7 @@ _on_readings("export_table", lambda r: reports.export_table(r, {name: name for n
 
 @query
 def latest_temp_rank(spark, sf):
-    ranking = reports.temperature_ranking(fx.readings(spark, sf), among=fx.days(spark, sf))
+    ranking = reports.temperature_ranking(fx.readings(spark, sf))
     return fx.compared(ranking.drop("band"), "avg_temperature")
 
 
@@ -379,14 +389,14 @@ def temp_band(spark, sf):
 
 @query
 def trend_top_cities(spark, sf):
-    trend = reports.trend_top_cities(fx.readings(spark, sf), among=fx.days(spark, sf))
+    trend = reports.trend_top_cities(fx.readings(spark, sf))
     kept = ["full_date", "city", "state", "avg_temperature", "temperature_rolling_3d"]
     return fx.compared(trend.select(*kept), "temperature_rolling_3d")
 
 
 @query
 def risk_by_state(spark, sf):
-    return reports.risk_by_state(fx.readings(spark, sf), fx.days(spark, sf))
+    return reports.risk_by_state(fx.readings(spark, sf))
 
 
 @query
@@ -395,8 +405,8 @@ def dataset_summary(spark, sf):
 
 
 def _exposed(spark, sf):
-    climate = reports.climate_by_state(fx.readings(spark, sf), fx.days(spark, sf))
-    return reports.crops_with_climate(fx.crops(spark, sf), climate, fx.STATE_BY_TERRITORY, fx.years(spark, sf))
+    climate = reports.climate_by_state(fx.readings(spark, sf))
+    return reports.crops_with_climate(fx.crops(spark, sf), climate, fx.STATE_BY_TERRITORY)
 
 
 @query

@@ -79,6 +79,32 @@ def test_whole_run(spark, lake):
     assert jobs.refine_weather(spark, config) == {"silver": 5, "gold": 3}
 
 
+def test_late_early_and_unplaced_files(spark, lake):
+    landing, config = lake
+    ingest = lambda run, day=TODAY: jobs.ingest_weather(spark, config, str(landing / "weather"), run, day)
+    assert ingest("run-1")["records_extracted"] == 4
+    _land_weather(landing, "2026-08-01", [18.0])  # landed after its day had been ingested
+    _land_weather(landing, "2026-08-04", [25.0])  # a day still to come
+    _land_weather(landing, "2026-08-02", [18.0], city="Nowhere", state="XX")
+    assert ingest("run-2")["records_extracted"] == 1
+    assert ingest("run-3")["records_extracted"] == 0
+    assert ingest("run-4", dt.date(2026, 8, 4))["records_extracted"] == 1
+    known = spark.createDataFrame([("Nowhere", "XX", "Norte", -1.0, -50.0)], "city string, state string, region string, latitude double, longitude double")
+    found = jobs.ingest_weather(spark, config, str(landing / "weather"), "run-5", TODAY, known)
+    assert found["records_extracted"] == 1
+    assert spark.read.parquet(config.layer("bronze", "weather")).count() == 6
+
+
+def test_last_delivered_statistic_wins(spark, lake):
+    landing, config = lake
+    again = [{"D1C": "51", "D1N": "Mato Grosso", "D2N": "m", "D2C": "214", "D3C": "2713", "D3N": "Soja", "D4C": "2024", "MN": "t", "V": v} for v in ("950", "900")]
+    (landing / "crops" / "pam2.json").write_text(json.dumps([{"D1C": "header"}, *again]))
+    jobs.ingest_agriculture(spark, config, str(landing / "crops"), "run-1", TODAY)
+    jobs.refine_agriculture(spark, config)
+    silver = spark.read.parquet(config.layer("silver", "agriculture"))
+    assert [r["value"] for r in silver.where("metric_code = '214'").collect()] == [900.0]
+
+
 def test_strict_and_lenient_runs(spark, lake, tmp_path):
     landing, config = lake
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):

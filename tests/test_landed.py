@@ -68,6 +68,7 @@ def test_statistics_rows_drop_the_header(spark, tmp_path):
     }
     got = [r.asDict() for r in records]
     assert sorted(str(r.pop("value")) for r in got) == ["456.7", "None"]
+    assert sorted((r.pop("payload_file")[-6:], r.pop("payload_row")) for r in got) == [("a.json", 1), ("a.json", 2)]
     assert got[0] == got[1] == expected
 
 

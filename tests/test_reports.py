@@ -131,6 +131,8 @@ def test_crop_figures_and_summary(spark, readings):
     figures = reports.crop_figures(crops).first()
     assert (figures["year"], figures["crops"], figures["territories"], figures["display"]) == (2024, 2, 2, "2.5 mi t")
     assert [r["product_name"] for r in reports.production_by_crop(crops).collect()] == ["Soja", "Sorgo"]
+    sums = lambda **how: [r["produced_quantity"] for r in reports.production_by_crop(crops, **how).collect()]
+    assert sums() == [1_500_000.0, 1_000_000.0] and sums(all_years=True) == [1_500_001.0, 1_000_000.0]
     assert reports.production_by_state(crops, 1).first()["territory_name"] == "T51"
     assert reports.crop_table(crops).columns == list(reports.CROP_HEADINGS.values())
     summary = reports.dataset_summary(readings, crops).first()
