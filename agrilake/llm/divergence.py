@@ -6,6 +6,10 @@ text's distance to a language is the Jensen-Shannon distance (base 2, 0 to 1) of
 language with the smallest sum. A text is kept if both distances there are within their limits; texts with fewer than
 MIN_CHARS characters or MIN_WORDS words say too little about the respective histogram and are not judged by it.
 
+A text without any common word lies at a distance that depends on the reference alone: the larger the share of common
+words in the language, the farther. The limit of the word distance is the share WORDS_SHARE of it, by language; a fixed
+one would be out of reach where that distance is small. Both limits were chosen on labelled rows, see the README.
+
 Everything is column expressions inside one row, so a long text costs in proportion to its length, and a source or a
 group of copies with a third of all rows moves nothing. The sums per language are a few hundred numbers.
 
@@ -17,6 +21,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import log2, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +31,7 @@ from agrilake.llm.scratch import stored
 SPACE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS, MIN_CHARS = 50, 100
-MAX_CLASSES, MAX_WORDS = 0.30, 0.55
+MAX_CLASSES, WORDS_SHARE = 0.30, 0.85
 #: Frequent function words of the languages.
 COMMON = {
     "en": "the of and to a in is that it was for on are as with be this".split(),
@@ -149,25 +154,36 @@ def references(figures: DataFrame) -> dict[str, tuple[list[float], list[float]]]
     return {r["lang"]: (r["classes"], r["common"]) for r in rows.collect()}  # one row per language of COMMON
 
 
-def judge(docs: DataFrame, max_classes: float = MAX_CLASSES, max_words: float = MAX_WORDS, carry: Sequence[str] = ()) -> DataFrame:
+def words_limit(reference: Sequence[float], share: float = WORDS_SHARE) -> float:
+    """Largest word distance to a language: `share` of that of a text without common words; 1 if the language has none."""
+    other = reference[-1] / sum(reference)
+    if other == 1.0:
+        return 1.0
+    middle = (1 + other) / 2
+    # a common word's share p is p * log2(2) from the middle, the other words' share is what both have
+    found = (1 - other - log2(middle) + (other * log2(other / middle) if other else 0.0)) / 2
+    return share * sqrt(found)
+
+
+def judge(docs: DataFrame, max_classes: float = MAX_CLASSES, words_share: float = WORDS_SHARE, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, the figures, both distances to the nearest language, base_failed and kept for every row."""
     keep = list(dict.fromkeys(["doc_id", "lang", *carry]))
     figures = stored(described(docs, keep), "quality-figures")
     learned = references(figures)
     if not learned:
-        near = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("classes"), F.lit(0.0).alias("common"))
+        near = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("classes"), F.lit(0.0).alias("common"), F.lit(1.0).alias("limit"))
     else:
         by_language = []
         for lang in sorted(learned):
             classes, common = (distance(F.col(c), F.lit(list(h))) for c, h in zip(("classes", "common"), learned[lang], strict=True))
-            both = F.array(classes, common)
-            by_language.append(bound(both, lambda d: F.struct((d[0] + d[1]).alias("sum"), d[0].alias("classes"), d[1].alias("common"))))
+            both, limit = F.array(classes, common), F.lit(words_limit(learned[lang][1], words_share)).alias("limit")
+            by_language.append(bound(both, lambda d: F.struct((d[0] + d[1]).alias("sum"), d[0].alias("classes"), d[1].alias("common"), limit)))  # noqa: B023
         near = F.array_min(F.array(*by_language))
     judged = figures.withColumn("__near", near).withColumns(
         {"class_distance": F.col("__near.classes"), "word_distance": F.col("__near.common")}
     )
     far = (F.col("word_chars") >= MIN_CHARS) & (F.col("class_distance") > max_classes)
-    far = far | (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > max_words)
+    far = far | (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > F.col("__near.limit"))
     return judged.withColumn("kept", ~F.col("base_failed") & ~far).select(
         *[c for c in keep if c != "lang" or "lang" in carry],
         "n_words",

@@ -79,6 +79,18 @@ def test_quality_verdicts(spark):
     assert all(kept[i] for i in range(40)) and not kept[100] and not kept[101]
 
 
+def test_quality_by_common_words(spark):
+    rare = lambda i, k: f"lorem{chr(97 + i % 26)} ipsum{chr(97 + k % 26)} dolor{chr(97 + (i + k) % 26)}"
+    docs = [(i, " ".join(f"{rare(i, k)} {'the of and to in'.split()[k % 5]}" for k in range(40)), "en") for i in range(40)]
+    docs.append((100, " ".join(rare(7, k * k + k // 26) for k in range(25)), "en"))  # letters as in any other text, no common word
+    docs.append((101, " ".join(rare(7, k) for k in range(16)), None))  # too short to be judged by its words
+    found = {r["doc_id"]: r for r in divergence.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()}
+    assert all(found[i]["kept"] for i in range(40)) and found[101]["kept"]
+    assert not found[100]["base_failed"] and found[100]["class_distance"] < 0.1 and found[100]["word_distance"] < 0.55
+    assert not found[100]["kept"]
+    assert divergence.words_limit([0.0, 5.0]) == 1.0 and divergence.words_limit([5.0, 0.0], 1.0) == pytest.approx(1.0)
+
+
 def test_recurrent_gradients():
     draw = np.random.default_rng(3)
     windows, targets = draw.integers(0, 256, (6, 9)).astype(np.uint8), np.array([0, 1, 2] * 2)
