@@ -46,13 +46,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row of each group whose doc_id is the group's smallest."""
-    linked = adaptive_join.link(docs)
-    others = linked.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    others = stored(others, "duplicate-ids")
-    ids = F.broadcast(others) if others.count() <= SENT else others
-    kept = docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
-    repeated = linked.groupBy("doc_id").count().where((F.col("count") > 1) & F.col("doc_id").isNotNull())
+    """Keeps one row of each group: of those with the group's smallest doc_id, nulls last, the one of the smallest hash."""
+    linked = adaptive_join.link(docs.withColumn("doc_id", _row()))
+    linked = stored(linked.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group")), "linked-rows")
+    others = linked.where(F.col("row") != F.col("group")).distinct()
+    members = stored(others.union(others.select(F.col("group").alias("row"), "group").distinct()), "duplicate-rows")
+    sent = F.broadcast(members) if members.count() <= SENT else members
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    first = docs.select(_row().alias("row"), "doc_id").join(sent, "row").groupBy("group").agg(F.min(order).alias("first"))
+    kept = _without(docs, members.join(first.select("first.row"), "row", "left_anti"))
+    repeated = linked.groupBy("row").count().where(F.col("count") > 1)
     return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 

@@ -241,6 +241,18 @@ def test_pipeline_keeps_clean_rows_and_drops_the_rest(spark, sf_dir):
     assert leaks and rest == {r["doc_id"] for r in docs.collect()} - leaks
 
 
+def test_near_duplicates_go_by_row(spark, sf_dir):
+    text = lambda name, end: " ".join([f"{name}{i} {name}x{i} gamma delta" for i in range(40)] + [end])
+    rows = [(0, text("a", "one")), (1, text("a", "two")), (1, text("b", "alone"))]  # the second row of 1 is a text of its own
+    rows += [(5, text("c", "one")), (5, text("c", "two")), (None, text("d", "one")), (None, text("d", "two"))]
+    rows += [(None, text("e", "one")), (9, text("e", "two")), (7, text("f", "")), (7, text("f", "")), (8, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()]
+    sure = [rows[0], rows[2], rows[8], rows[9], rows[11], rows[12]]
+    assert all(kept.count(r) == 1 for r in sure) and len(kept) == len(sure) + 2
+    assert sum(r in kept for r in rows[3:5]) == 1 and sum(r in kept for r in rows[5:7]) == 1
+
+
 def test_pipeline_runs(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert rows and {"doc_id", "piece", "sequence_id", "offset"} <= set(rows[0].asDict())
