@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrilake.llm import adaptive_join, byte_gru, divergence, hash_tree, lattice, phrase_index, string_svm, swap_packing, tag_paths, token_coder
+from agrilake.llm import (
+    adaptive_join,
+    block_rotation,
+    byte_gru,
+    divergence,
+    fm_index,
+    hash_tree,
+    lattice,
+    permuterm,
+    phrase_index,
+    string_svm,
+    swap_packing,
+    tag_paths,
+    token_coder,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +95,21 @@ def op10_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tag_paths.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuterm.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = block_rotation.restored(block_rotation.fill_in_middle(_table(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,5 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_adaptive_join,
         op9_context_coder,
         op10_tag_paths,
+        op11_permuterm,
+        op12_fm_index,
+        op13_block_rotation,
     )
 }
