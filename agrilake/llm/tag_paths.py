@@ -7,7 +7,8 @@ content element: the deepest element that holds most of their characters. What l
 (menus, adverts, forms, comments, ...) is the text; so a short paragraph inside an article stays.
 
 Cases: null or empty html, and pages without text, give an empty text; text outside any tag belongs to the root path;
-unclosed and stray tags are tolerated; pages of any length are parsed whole.
+unclosed and stray tags are tolerated; pages of any length and depth are parsed whole, in time linear in both; ties between
+elements go to the first; repeated rows give equal rows; an empty table gives an empty result; other columns are left out.
 """
 
 from __future__ import annotations
@@ -55,23 +56,24 @@ PUNCTUATION = re.compile(r"[.,;:!?¡¿…。、，！？]")
 class _Element:
     __slots__ = ("tag", "parent", "depth", "furniture", "path", "article", "scored")
 
-    def __init__(self, tag: str, parent: _Element | None, furniture: bool, article: bool):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: _Element | None, furniture: bool, article: bool, path: int):
+        self.tag, self.parent, self.path = tag, parent, path
         self.depth = parent.depth + 1 if parent else 0
         self.furniture = furniture or bool(parent and parent.furniture)
         self.article = article or bool(parent and parent.article)
-        self.path = f"{parent.path}/{tag}" if parent else tag
         self.scored = 0
 
 
 class _Pages(HTMLParser):
-    """Collects text nodes with their elements, and where blocks end."""
+    """Collects text nodes with their elements, and where blocks end; in time linear in the page, however deep it is."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.here = _Element("", None, False, False)
-        self.root = self.here
+        self.here = _Element("", None, False, False, 0)
+        self.elements: list[_Element] = [self.here]  # parents before children
+        self.paths: dict[tuple[int, str], int] = {}  # number of a path, by its parent path's and the tag
         self.open: list[_Element] = [self.here]
+        self.places: dict[str, list[int]] = {}  # places of the open elements of a tag; of all blocks under the empty tag
         self.nodes: list[tuple[_Element, str] | None] = []  # None: a block ends here
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -93,7 +95,11 @@ class _Pages(HTMLParser):
         # a header or footer of the article belongs to it; those of the page, and named furniture, don't
         furniture = tag in SILENT or tag in FURNITURE or hidden
         furniture = furniture or not article and tag not in ("html", "body") and bool(named and NAMED.search(named))
-        self.here = _Element(tag, self.here, furniture, article)
+        path = self.paths.setdefault((self.here.path, tag), len(self.paths) + 1)
+        self.here = _Element(tag, self.here, furniture, article, path)
+        self.elements.append(self.here)
+        for name in (tag, "") if tag in BLOCK else (tag,):
+            self.places.setdefault(name, []).append(len(self.open))
         self.open.append(self.here)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -104,27 +110,33 @@ class _Pages(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.nodes.append(None)
-        self._end({tag}, set() if tag in BLOCK else BLOCK)
+        self._end({tag}, set() if tag in BLOCK else {""})
+
+    def _last(self, tags: set[str]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
     def _end(self, tags: set[str], walls: set[str]) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                del self.open[i:]
-                self.here = self.open[-1]
-                return
-            if self.open[i].tag in walls:
-                return
+        """Ends the innermost open element of `tags`, and what is open in it, unless a wall lies in between."""
+        at = self._last(tags)
+        if not at or at < self._last(walls):
+            return
+        for element in self.open[at:]:
+            self.places[element.tag].pop()
+            if element.tag in BLOCK:
+                self.places[""].pop()
+        del self.open[at:]
+        self.here = self.open[-1]
 
     def handle_data(self, data: str) -> None:
         if not (self.here.furniture and self.here.tag in SILENT):
             self.nodes.append((self.here, data))
 
 
-def path_scores(nodes: list[tuple[str, str]], sigma: float = 1.0, radius: int = 2) -> list[float]:
+def path_scores(nodes: list[tuple[int, str]], sigma: float = 1.0, radius: int = 2) -> list[float]:
     """Fused and smoothed ratio of every (path, text) node."""
-    size: dict[str, int] = {}
-    marks: dict[str, int] = {}
-    times: dict[str, int] = {}
+    size: dict[int, int] = {}
+    marks: dict[int, int] = {}
+    times: dict[int, int] = {}
     for path, text in nodes:
         times[path] = times.get(path, 0) + 1
         size[path] = size.get(path, 0) + len(text)
@@ -165,16 +177,13 @@ def main_text(html: str | None, share: float = 0.5) -> str:
     mean = sum(scores) / len(scores)
     cut = share * (sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5
     chosen = [(e, len(t)) for (e, t), s in zip(texts, scores, strict=True) if s >= cut] or [(e, len(t)) for e, t in texts]
-    total = 0
-    holders: dict[int, _Element] = {}
+    total = sum(n for _, n in chosen)
     for element, n in chosen:
-        total += n
-        at: _Element | None = element
-        while at:
-            at.scored += n
-            holders[id(at)] = at
-            at = at.parent
-    content = max((e for e in holders.values() if e.scored * 10 >= total * 9), key=lambda e: (e.depth, e.scored))
+        element.scored += n
+    for element in reversed(parser.elements):
+        if element.parent:
+            element.parent.scored += element.scored
+    content = max((e for e in parser.elements if e.scored * 10 >= total * 9), key=lambda e: (e.depth, e.scored))
     if content.tag not in BLOCK or content.tag == "p":  # one paragraph is most of the text: its neighbours belong to it
         while content.parent and (content.tag not in BLOCK or content.tag in ("p", "pre")):
             content = content.parent
