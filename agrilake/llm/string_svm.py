@@ -197,7 +197,7 @@ def separate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 
 def train_machine(toxic: list[set[str]], clean: list[set[str]], landmarks: int = LANDMARKS, rounds: int = 2) -> Machine:
-    """A machine from the words of toxic and clean documents."""
+    """A machine from the words of toxic and clean documents. If either side has no word, every text scores 0.5 or nearly so."""
     toxic, clean = ([[w for w in sorted(d) if 2 <= len(w) <= LONGEST] for d in docs] for docs in (toxic, clean))
     fit_toxic, fit_clean = ([d for i, d in enumerate(docs) if i % 4 or len(docs) < 8] for docs in (toxic, clean))
     ask_toxic, ask_clean = ([d for i, d in enumerate(docs) if not i % 4 or len(docs) < 8] for docs in (toxic, clean))
@@ -212,6 +212,8 @@ def train_machine(toxic: list[set[str]], clean: list[set[str]], landmarks: int =
     odds[seen[1] < max(2, 0.004 * len(fit_toxic))] = 0
     machine = Machine(odds.astype(np.float32), 0.0)
     negatives = sorted({w for d in fit_clean for w in d})
+    if not negatives:  # nothing to hold toxic words against: the first odds stay
+        rounds = -1
     draw = np.random.default_rng(5)
     for turn in range(rounds + 1):
         strongest = _strongest(machine, fit_toxic)
