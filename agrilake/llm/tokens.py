@@ -8,16 +8,47 @@ tokenizers library only for new ones. Texts where a part could depend on its nei
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
 
-#: Parts remembered by a worker; beyond it the memory starts anew.
-REMEMBERED = 600_000
+#: Bytes of parts and their ids that a worker remembers, about; beyond it, what wasn't met again for a while is dropped.
+REMEMBERED = 128 << 20
 #: Longer parts are encoded each time instead of being remembered.
 LONGEST = 64
 
 
+class Memory:
+    """Ids of strings, in two generations: when the younger is full, the older is dropped, and what is met moves up."""
+
+    def __init__(self, limit: int = REMEMBERED):
+        self.half = limit // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def missing(self, parts: set[str]) -> set[str]:
+        """Those of `parts` that aren't remembered; all others are in `young` until the next call."""
+        if self.size > self.half:
+            self.old, self.young, self.size = self.young, {}, 0
+        new = parts.difference(self.young)  # looks each part up, whereas a keys view would be walked whole
+        old = self.old
+        again = {p: old[p] for p in new if p in old}
+        self.add(again)
+        return new.difference(again)
+
+    def add(self, found: dict[str, bytes]) -> None:
+        self.young.update(found)
+        # with the objects' heads and the table's share
+        self.size += 190 * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
+
+
+#: Pre-tokens of the word vocabulary, for lower-case texts of ASCII and Latin-1 letters; taken from the tokenizer file.
+PLAIN = re.compile(r"[\x00-\x7Eß-öø-ÿ]*\Z")
+PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t-\r]+")
+
+
 class WordEncoder:
     """encode(texts) -> list of little-endian uint16 id strings, equal to encoding every text whole.
 
@@ -34,37 +65,65 @@ class WordEncoder:
             raise ValueError("ids above 65535 don't fit")
         self.before = " " if joined else ""
         self.joined = joined
-        self.known: dict[str, bytes] = {}
+        self.known = Memory()
         if joined:  # ids whose text begins with a space, as the first id of every part does and no other
             space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
             self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.opens[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(space)]] = True
+        else:  # pre-tokens go without normalizer and pattern, each ends with an id of its own kind
+            from tokenizers import Tokenizer
+            from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
+
+            self.lean = Tokenizer.from_file(path)
+            self.lean.encode_special_tokens = True
+            self.lean.normalizer = None
+            self.lean.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+            self.tokens = Memory()
 
     def _parts(self, parts: list[str]) -> list[bytes]:
         """Ids of every part, the space before it included. One text of many parts takes the library much less time."""
-        if self.joined and "" not in parts:
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join([" " + p for p in parts])], add_special_tokens=False)[0].ids, "<u2")
-            first = np.flatnonzero(self.opens[ids])
-            if len(first) == len(parts) and not first[0]:
-                packed, cuts = ids.tobytes(), [*(2 * first).tolist(), 2 * len(ids)]
-                return [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        return self._whole([self.before + p for p in parts])
+        if self.joined:
+            return self._cut(self.tokenizer, parts) or self._whole([self.before + p for p in parts])
+        lower = [p.lower() for p in parts]
+        odd = [i for i, p in enumerate(lower) if not (p.isascii() or PLAIN.match(p))]
+        for i in odd:
+            lower[i] = ""
+        cut = list(map(PRE_TOKEN.findall, lower))
+        new = list(self.tokens.missing(set().union(*cut)))
+        found = dict(zip(new, (self._cut(self.lean, new) or self._whole(new)) if new else [], strict=True))
+        self.tokens.add(found)
+        found = self.tokens.young
+        out = [found[pieces[0]] if len(pieces) == 1 else b"".join([found[t] for t in pieces]) for pieces in cut]
+        for i, ids in zip(odd, self._whole([parts[i] for i in odd]), strict=True):
+            out[i] = ids
+        return out
+
+    def _cut(self, tokenizer, parts: list[str]) -> list[bytes] | None:
+        """Ids of each part out of those of one text; None if they don't show where the parts are."""
+        if "" in parts:
+            return None
+        text = "".join([" " + p for p in parts]) if self.joined else " ".join(parts)
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
+        first = np.flatnonzero(self.opens[ids]) if self.joined else np.append(0, np.flatnonzero(self.closes[ids])[:-1] + 1)
+        if len(first) != len(parts) or len(ids) and first[0]:
+            return None
+        packed, cuts = ids.tobytes(), [*(2 * first).tolist(), 2 * len(ids)]
+        return [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(x.ids, "<u2").tobytes() for x in found]
 
     def _learn(self, parts: set[str]) -> dict[str, bytes]:
         """Ids of the parts that aren't remembered; short ones are from now on."""
-        new = list(parts - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list(parts)
+        new = list(self.known.missing(parts))
         coded: dict[str, bytes] = {}
         for i in range(0, len(new), 4096):
             some = new[i : i + 4096]
             coded.update(zip(some, self._parts(some), strict=True))
-        self.known.update((p, ids) for p, ids in coded.items() if len(p) <= LONGEST)
+        self.known.add({p: ids for p, ids in coded.items() if len(p) <= LONGEST})
         return coded
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -78,7 +137,7 @@ class WordEncoder:
         if self.joined and cut:  # the first part has no space before it
             heads = self._whole([parts.pop(0) for parts in cut.values()])
         coded = self._learn({p for parts in cut.values() for p in parts})
-        known = self.known
+        known = self.known.young
         for head, (i, parts) in zip(heads, cut.items(), strict=True):
             out[i] = head + b"".join([known[p] if p in known else coded[p] for p in parts])
         return out
@@ -90,5 +149,10 @@ def encoder_of(path: str, joined: bool) -> WordEncoder:
     return WordEncoder(path, joined)
 
 
+def forget_encoder() -> None:
+    """Frees what the worker's encoder remembers; tasks of other stages call it before they fill memory of their own."""
+    encoder_of.cache_clear()
+
+
 def as_ids(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, "<u2").astype("<u4")
