@@ -27,9 +27,12 @@ from agrilake.schemas import (
 )
 from agrilake.sources import lake
 from agrilake.sources.landed import (
-    read_statistics_rows,
+    FILE,
+    landed_files,
+    read_statistics_payloads,
     read_weather_payloads,
     statistics_records,
+    statistics_rows,
     weather_records,
 )
 from agrilake.sources.metadata import MetadataStore
@@ -54,6 +57,25 @@ def in_date_range(day: Column, start: dt.date, end: dt.date) -> Column:
     return day.isNull() | day.between(F.lit(start), F.lit(end))
 
 
+def _stage(df: DataFrame, config: LakeConfig, name: str) -> DataFrame:
+    """``df`` written to the staging folder and read back, so that what follows doesn't go to the landing again."""
+    path = f"{config.staging_root(df.sparkSession)}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _unreadable(payloads: DataFrame, execution_id: str) -> DataFrame:
+    """Quarantine rows of payloads that can't be read, with their whole text."""
+    return payloads.where(F.col("unreadable").isNotNull()).select(
+        *FILE,
+        F.col("unreadable").alias("payload"),
+        F.lit("unreadable_payload").alias("reason"),
+        F.array(F.lit("unreadable_payload")).alias("reasons"),
+        F.current_timestamp().alias("validation_timestamp"),
+        F.lit(execution_id).alias("pipeline_execution_id"),
+    )
+
+
 def ingest_weather(
     spark: SparkSession,
     config: LakeConfig,
@@ -64,8 +86,11 @@ def ingest_weather(
 ) -> dict[str, Any]:
     """Landed payloads not ingested yet to bronze and quarantine, late days too.
 
-    A file is done with once its rows are in; one with days after today, or from a place that isn't known, is read again
-    by later runs. Days before the configured first one are out of scope.
+    The listing of the landing tells new files, by path, time and size; no other file's content is read. A file is done
+    with once its rows are in. One with days after today is read again by later runs, which take the later days only;
+    one from a place that isn't known waits. A payload that can't be read goes to quarantine, and doesn't stop the
+    others. Days before the configured first one are out of scope. ``records_extracted`` is the sum of the valid
+    and the rejected, where an unreadable payload counts as one record.
     """
     started = time.perf_counter()
     started_at = dt.datetime.now(dt.timezone.utc).isoformat()
@@ -73,15 +98,19 @@ def ingest_weather(
     last = store.load(WEATHER_JOB, WEATHER_SOURCE).last_ingested_date
     start, end = config.initial_ingestion_date, today or dt.date.today()
     places = read_locations(spark) if locations is None else locations
-    landed = read_weather_payloads(spark, landing_path)
-    payloads = landed.join(store.ingested_files(WEATHER_JOB), "payload_file", "left_anti")
-    if start > end or payloads.isEmpty():
+    files = _stage(store.new_files(WEATHER_JOB, landed_files(spark, landing_path)), config, f"weather_files_{execution_id}")
+    oldest = files.agg(F.min("payload_modified")).first()[0]
+    if start > end or oldest is None:
         LOG.info("nothing to ingest up to %s", end)
         return {"records_extracted": 0, "last_ingested_date": last}
+    here = places.select("city", "state").distinct().withColumn("known", F.lit(True))
+    payloads = read_weather_payloads(spark, landing_path, oldest).join(files, FILE).join(here, ["city", "state"], "left")
+    payloads = _stage(payloads, config, f"weather_payloads_{execution_id}")
 
-    records = weather_records(payloads, places).where(
-        in_date_range(F.to_date(F.col("timestamp").try_cast("timestamp_ntz")), start, end)
-    )
+    day = F.to_date(F.col("timestamp").try_cast("timestamp_ntz"))
+    # what an earlier run took from a file stays taken; a day that can't be read was among it
+    fresh = F.col("through").isNull() | F.coalesce(day > F.col("through"), F.lit(False))
+    records = weather_records(payloads, places, also=["through"]).where(fresh & in_date_range(day, start, end)).drop("through")
 
     # Judged once into a shared staging table: both outputs then read only their own half of it.
     staged = f"{config.staging_root(spark)}/weather_{execution_id}"
@@ -90,22 +119,34 @@ def ingest_weather(
         counts, F.count(F.lit(1)).alias("extracted"), F.count_if("accepted").alias("valid")
     )
     judged.write.mode("overwrite").partitionBy("accepted").parquet(staged)
-    extracted, valid = counts.get["extracted"], counts.get["valid"]
-    if extracted:
+    judged_rows, valid = counts.get["extracted"], counts.get["valid"]
+    if judged_rows:
         split = split_judged(spark.read.schema(judged.schema).parquet(staged), WEATHER_RECORD.fieldNames(), execution_id)
         accepted = lake.stamp_weather(split.accepted, execution_id)
         lake.write_run(accepted, config.layer("bronze", "weather"), end, execution_id)
-        if valid < extracted:
+        if valid < judged_rows:
             lake.write_quarantine(split.quarantined, config.layer("quarantine", "weather"), execution_id)
 
-    last_hour = F.array_max("hourly.time").try_cast("timestamp_ntz")
-    ended = payloads.where(F.coalesce(F.to_date(last_hour) <= F.lit(end), F.lit(True)))
-    store.append_files(WEATHER_JOB, ended.join(places, ["city", "state"], "left_semi"))
-    unknown = payloads.join(places, ["city", "state"], "left_anti").count()
-    if unknown:
-        LOG.warning("%d payloads are from places that aren't known and wait", unknown)
+    last_day = F.array_max(F.transform("hourly.time", lambda hour: F.to_date(hour.try_cast("timestamp_ntz"))))
+    is_known = F.coalesce("known", F.lit(False))
+    figures = payloads.agg(
+        F.count_if(F.col("unreadable").isNotNull()).alias("unreadable"),
+        F.count_if(F.col("unreadable").isNull() & ~is_known).alias("unplaced"),
+    ).first()
+    if figures["unreadable"]:
+        lake.write_quarantine(_unreadable(payloads, execution_id), config.layer("quarantine", "weather_payloads"), execution_id)
+    if figures["unplaced"]:
+        LOG.warning("%d payloads are from places that aren't known and wait", figures["unplaced"])
+    ended = F.coalesce(last_day <= F.lit(end), F.lit(True))
+    notes = payloads.select(
+        *FILE,
+        (F.col("unreadable").isNotNull() | is_known & ended).alias("done"),
+        F.when(is_known, F.lit(end)).alias("through"),
+    )
+    store.append_files(WEATHER_JOB, notes)
 
     seconds = time.perf_counter() - started
+    extracted = judged_rows + figures["unreadable"]
     rejected = extracted - valid
     if extracted:  # the mark stays where it is while nothing has landed
         store.record_success(WEATHER_JOB, WEATHER_SOURCE, end, valid, seconds)
@@ -137,19 +178,34 @@ def ingest_agriculture(
     today: dt.date | None = None,
     products: DataFrame | None = None,
 ) -> dict[str, Any]:
-    """Landed crop statistics of the known products to bronze."""
+    """Landed crop statistics of the known products to bronze, from new files only; unreadable ones to quarantine.
+
+    Files are noted with the rows of products unknown then; deliver them again once a product is added.
+    """
     started = time.perf_counter()
     day = today or dt.date.today()
+    store = MetadataStore(spark, config.metadata_root)
+    target = config.layer("bronze", "agriculture")
+    files = _stage(store.new_files(AGRICULTURE_JOB, landed_files(spark, landing_path)), config, f"crop_files_{execution_id}")
+    oldest = files.agg(F.min("payload_modified")).first()[0]
+    if oldest is None:
+        LOG.info("no new crop statistics")
+        return {"records_extracted": 0, "output_path": target}
+    payloads = read_statistics_payloads(spark, landing_path, oldest).join(files, FILE)
+    payloads = _stage(payloads, config, f"crop_payloads_{execution_id}")
     known = (read_products(spark) if products is None else products).select("product_code").distinct()
-    records = statistics_records(read_statistics_rows(spark, landing_path)).join(known, "product_code", "left_semi")
+    records = statistics_records(statistics_rows(payloads)).join(known, "product_code", "left_semi")
     counts = Observation()
     stamped = lake.stamp_agriculture(records, execution_id).select(*BRONZE_AGRICULTURE.fieldNames())
-    target = config.layer("bronze", "agriculture")
     lake.write_run(stamped.observe(counts, F.count(F.lit(1)).alias("rows")), target, day, execution_id)
     rows = counts.get["rows"]
-    store = MetadataStore(spark, config.metadata_root)
+    broken = payloads.where(F.col("unreadable").isNotNull()).count()
+    if broken:
+        LOG.warning("%d crop payloads can't be read and are in quarantine", broken)
+        lake.write_quarantine(_unreadable(payloads, execution_id), config.layer("quarantine", "agriculture_payloads"), execution_id)
+    store.append_files(AGRICULTURE_JOB, payloads.select(*FILE, F.lit(True).alias("done"), F.lit(day).alias("through")))
     store.record_success(AGRICULTURE_JOB, AGRICULTURE_SOURCE, day, rows, time.perf_counter() - started)
-    return {"records_extracted": rows, "output_path": target}
+    return {"records_extracted": rows, "output_path": target, **({"payloads_rejected": broken} if broken else {})}
 
 
 def refine_weather(spark: SparkSession, config: LakeConfig) -> dict[str, int]:

@@ -217,7 +217,13 @@ PIPELINE_STATE = _struct(
     ("execution_time", _D),
     ("saved_at", T.TimestampType()),
 )
-INGESTED_FILES = _struct(*_all(_S, "pipeline_name", "payload_file"))
+INGESTED_FILES = _struct(
+    *_all(_S, "pipeline_name", "payload_file"),
+    *_all(_L, "payload_modified", "payload_size"),
+    ("done", T.BooleanType()),
+    ("through", T.DateType()),
+    ("saved_at", T.TimestampType()),
+)
 RUN_LOG = _struct(
     *_all(_S, "pipeline_execution_id", "started_at", "finished_at"),
     ("duration_seconds", _D),

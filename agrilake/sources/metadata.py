@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from agrilake.operators.silver import latest_per_key
 from agrilake.schemas import DATASET_METRICS, INGESTED_FILES, PIPELINE_STATE, RUN_LOG
+from agrilake.sources.landed import FILE
 from agrilake.sources.reading import read_or_none
 
 _STATE_KEY = ["pipeline_name", "source"]
@@ -72,14 +73,19 @@ class MetadataStore:
         now, day = _now().isoformat(), last_ingested.isoformat()
         self.save(PipelineState(pipeline_name, source, now, day, records, "success", seconds))
 
-    def ingested_files(self, pipeline_name: str) -> DataFrame:
-        """Files that a pipeline is done with."""
-        log = self._read("ingested_files", INGESTED_FILES)
-        return log.where(F.col("pipeline_name") == pipeline_name).select("payload_file").distinct()
+    def new_files(self, pipeline_name: str, landed: DataFrame) -> DataFrame:
+        """Landed files that the pipeline isn't done with, and ``through``, the last day already taken from them.
+
+        A file that is delivered again under its name, at another time or of another size, is new.
+        """
+        log = self._read("ingested_files", INGESTED_FILES).where(F.col("pipeline_name") == pipeline_name)
+        latest = latest_per_key(log, FILE, [F.col("saved_at").desc_nulls_last()]).select(*FILE, "done", "through")
+        return landed.join(latest, FILE, "left").where(~F.coalesce("done", F.lit(False))).select(*FILE, "through")
 
     def append_files(self, pipeline_name: str, files: DataFrame) -> None:
-        entries = files.select(F.lit(pipeline_name).alias("pipeline_name"), "payload_file").distinct()
-        entries.write.mode("append").json(f"{self.root}/ingested_files")
+        """Notes for each file whether the pipeline is done with it, and the last day taken from it."""
+        stamps = [F.lit(pipeline_name).alias("pipeline_name"), F.lit(_now()).alias("saved_at")]
+        files.select(*FILE, "done", "through", *stamps).write.mode("append").json(f"{self.root}/ingested_files")
 
     def append_run(self, execution_id: str, **figures: Any) -> None:
         self._append("runs", RUN_LOG, {"pipeline_execution_id": execution_id, **figures})

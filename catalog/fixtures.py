@@ -63,14 +63,18 @@ def compared(df: DataFrame, *means: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with ``cents`` and the ``k`` of '{"k": 69}'."""
+    """Events with ``cents`` and the ``k`` of '{"k": 69}'.
+
+    ``k`` comes out of a generator: a plain column would be put in place of its every use, the filters' as well, and the
+    JSON parsed again for each."""
+    k = F.get_json_object("props", "$.k").try_cast("int").alias("k")
     return table(spark, sf_dir, "events").select(
         "event_id",
         "ts",
         "user_id",
         "event_type",
         F.floor(F.col("value") * 100 + 0.5).alias("cents"),
-        F.get_json_object("props", "$.k").try_cast("int").alias("k"),
+        F.inline(F.array(F.struct(k))),
     )
 
 
@@ -164,7 +168,21 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(2.5).alias("longitude"),
         F.struct(hours.alias("time"), *[array.alias(name) for name, array in arrays.items()]).alias("hourly"),
         F.lpad(F.col("event_id").cast("string"), 12, "0").alias("payload_file"),
+        "k",
+    )
+
+
+def payload_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads as JSON; some are cut off, some empty, some have text where a number is due."""
+    k = F.col("k")
+    text = F.to_json(F.struct("latitude", "longitude", "hourly"))
+    value = (
+        F.when(k == 3, F.substring(text, 1, 40))
+        .when(k == 4, "  ")
+        .when(k == 5, F.replace(text, F.lit('"longitude":2.5'), F.lit('"longitude":"east"')))
+        .otherwise(text)
     )
+    return payloads(spark, sf_dir).select("payload_file", "city", "state", value.alias("value"))
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:

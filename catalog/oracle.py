@@ -315,6 +315,17 @@ _add(
        CASE WHEN h = 0 THEN CAST(cents % 64 AS DOUBLE) END AS precipitation_mm
 FROM ev, range(3) AS r(h)""",
 )
+_add(
+    "payload_quarantine",
+    EVENTS,
+    """SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') AS payload_file, 'C' || nk AS city,
+       CASE WHEN k NOT IN (3, 4, 5) AND event_type <> 'view' THEN CAST(1.5 AS DOUBLE) END AS latitude,
+       CASE WHEN k NOT IN (3, 4, 5) THEN CAST(2.5 AS DOUBLE) END AS longitude,
+       CASE WHEN k IN (3, 4, 5) THEN 'unreadable_payload' END AS reason,
+       CASE WHEN k NOT IN (3, 4, 5) THEN 3 END AS hours,
+       CASE WHEN k NOT IN (3, 4, 5) AND k % 4 <> 0 THEN (cents % 5120) / 128.0::DOUBLE END AS first_temperature
+FROM ev""",
+)
 _add(
     "union_all",
     OBS,

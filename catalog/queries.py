@@ -22,7 +22,7 @@ from agrilake.schemas import (
     FACT_AGRICULTURE,
     FACT_WEATHER,
 )
-from agrilake.sources.landed import weather_records
+from agrilake.sources.landed import parsed_payloads, weather_records
 from agrilake.sources.reading import unite
 from catalog import fixtures as fx
 
@@ -123,6 +123,21 @@ def array_normalize(spark, sf):
     return records.select("record_order", *kept)
 
 
+@query
+def payload_quarantine(spark, sf):
+    parsed = parsed_payloads(fx.payload_texts(spark, sf))
+    readable = F.col("unreadable").isNull()
+    return parsed.select(
+        "payload_file",
+        "city",
+        "latitude",
+        "longitude",
+        F.when(~readable, "unreadable_payload").alias("reason"),
+        F.when(readable, F.size("hourly.time")).alias("hours"),
+        F.get("hourly.temperature_2m", F.lit(0)).alias("first_temperature"),
+    )
+
+
 @query
 def union_all(spark, sf):
     rows = fx.obs(spark, sf)

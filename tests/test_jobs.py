@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +96,62 @@ def test_late_early_and_unplaced_files(spark, lake):
     assert spark.read.parquet(config.layer("bronze", "weather")).count() == 6
 
 
+def _bronze_rows(spark, config, dataset="weather"):
+    return spark.read.option("recursiveFileLookup", True).parquet(config.layer("bronze", dataset)).count()
+
+
+def test_a_broken_payload_does_not_stop_the_others(spark, lake):
+    landing, config = lake
+    target = landing / "weather" / "city=Sorriso" / "state=MT"
+    (target / "broken.json").write_text('{"hourly": {"time": ["2026-08-02T')
+    (landing / "crops" / "broken.json").write_text('[{"D1C": ')
+    found = jobs.ingest_weather(spark, config, str(landing / "weather"), "run-1", TODAY)
+    assert (found["records_extracted"], found["records_valid"], found["records_rejected"]) == (5, 3, 2)
+    kept = spark.read.json(config.layer("quarantine", "weather_payloads")).first()
+    assert kept["reason"] == "unreadable_payload" and kept["payload"].endswith("2026-08-02T") and kept["run"] == "run-1"
+    crops = jobs.ingest_agriculture(spark, config, str(landing / "crops"), "run-1", TODAY)
+    assert crops["records_extracted"] == 4 and crops["payloads_rejected"] == 1
+    again = jobs.ingest_weather(spark, config, str(landing / "weather"), "run-2", TODAY)
+    assert again["records_extracted"] == 0
+    (target / "broken.json").write_text(json.dumps({"hourly": {"time": ["2026-08-02T05:00"], "temperature_2m": [19.0]}}))
+    mended = jobs.ingest_weather(spark, config, str(landing / "weather"), "run-3", TODAY)
+    assert (mended["records_extracted"], mended["records_valid"]) == (1, 1)
+
+
+def test_only_new_and_redelivered_files_are_read(spark, lake):
+    landing, config = lake
+    weather, crops = str(landing / "weather"), str(landing / "crops")
+    jobs.ingest_weather(spark, config, weather, "run-1", TODAY)
+    jobs.ingest_agriculture(spark, config, crops, "run-1", TODAY)
+    rows = _bronze_rows(spark, config), _bronze_rows(spark, config, "agriculture")
+    assert jobs.ingest_agriculture(spark, config, crops, "run-2", TODAY)["records_extracted"] == 0
+    assert rows == (_bronze_rows(spark, config), _bronze_rows(spark, config, "agriculture"))
+    # contents of what is done with are not even opened
+    old = landing / "weather" / "city=Sorriso" / "state=MT" / "2026-07-30.json"
+    stamp = old.stat()
+    old.write_bytes(b"x" * stamp.st_size)
+    os.utime(old, ns=(stamp.st_atime_ns, stamp.st_mtime_ns))
+    _land_weather(landing, "2026-08-02", [20.0, 21.0, 22.0, 23.0])  # corrected under its name
+    found = jobs.ingest_weather(spark, config, weather, "run-3", TODAY)
+    assert (found["records_extracted"], found["records_valid"]) == (4, 4)
+    jobs.refine_weather(spark, config)
+    silver = spark.read.parquet(config.layer("silver", "weather")).where("event_date = '2026-08-02'")
+    assert sorted(r["temperature_2m"] for r in silver.collect()) == [20.0, 21.0, 22.0, 23.0]
+
+
+def test_days_to_come_are_taken_once(spark, lake):
+    landing, config = lake
+    target = landing / "weather" / "city=Sorriso" / "state=MT"
+    times = ["2026-08-03T05:00", "no time", "2026-08-04T05:00"]
+    (target / "forecast.json").write_text(json.dumps({"hourly": {"time": times, "temperature_2m": [1.0, 2.0, 3.0]}}))
+    ingest = lambda run, day: jobs.ingest_weather(spark, config, str(landing / "weather"), run, day)
+    assert ingest("run-1", TODAY)["records_extracted"] == 6
+    assert ingest("run-2", TODAY)["records_extracted"] == 0
+    assert ingest("run-3", dt.date(2026, 8, 4))["records_extracted"] == 1
+    assert ingest("run-4", dt.date(2026, 8, 5))["records_extracted"] == 0
+    assert _bronze_rows(spark, config) == 6
+
+
 def test_last_delivered_statistic_wins(spark, lake):
     landing, config = lake
     again = [{"D1C": "51", "D1N": "Mato Grosso", "D2N": "m", "D2C": "214", "D3C": "2713", "D3N": "Soja", "D4C": "2024", "MN": "t", "V": v} for v in ("950", "900")]
