@@ -33,11 +33,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrilake.llm.scratch import stored
+from agrilake.llm.tokens import forget_encoder
 
 SIZE = 5
 MOST = 4  # largest m
 BATCH = 2000  # texts of a batch, fewer than 65535
-PER_BUCKET = 2_000_000  # shingles of a bucket, about
+PER_BUCKET = 1_000_000  # shingles of a bucket, about
+GROUP = 1 << 18  # bytes of text whose shingles are made at a time
 PIVOTS = 8  # rounds with pivots at most, before all pairs that are left
 #: Key tables of at most so many rows are sent to every task; larger ones are joined by a shuffle.
 SENT = 200_000
@@ -57,17 +59,25 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and where each text's words begin (with the end)."""
+    """Hashes of all words, and where each text's words begin (with the end).
+
+    Running sums are taken over blocks of words of about GROUP bytes, so that a long text takes memory for one block."""
     data = np.frombuffer(b"\n".join(t.lower() for t in texts) + b"\n", np.uint8)
     blank = _BLANK[data]
     edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     if len(data) and not blank[0]:
         edge = np.concatenate([[0], edge])
     begin, end = edge[0::2], edge[1::2]
-    powers = np.cumprod(np.full(len(data), _BASE))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers)])
-    inverse = np.cumprod(np.full(len(data) + 1, _BACK))
-    hashes = _mixed((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+    hashes = np.empty(len(begin), np.uint64)
+    cuts = np.unique(np.searchsorted(begin, np.arange(0, len(data) + GROUP, GROUP)))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        low, high = begin[a], end[b - 1]
+        sums = np.cumprod(np.full(high - low, _BASE))
+        sums *= data[low:high].astype(np.uint64) + np.uint64(1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(sums, out=sums)])
+        inverse = np.cumprod(np.full(high - low, _BACK))
+        first, last = begin[a:b] - low, end[a:b] - low
+        hashes[a:b] = _mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
     sizes = np.array([len(t) + 1 for t in texts])
     return hashes, np.searchsorted(begin, np.concatenate([[0], np.cumsum(sizes)]))
 
@@ -98,7 +108,7 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     for text in texts:
         group.append((text or "").encode())
         size += len(group[-1])
-        if size > 1 << 21:
+        if size > GROUP:
             read()
             group, size = [], 0
     if group:
@@ -119,11 +129,14 @@ def described(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and sig, equal for equal sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets(batch.column("text").to_pylist())
-            columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64())]
-            columns.append(pa.array([signature(s) for s in sets], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "sig"])
+        forget_encoder()
+        for whole in batches:
+            for i in range(0, whole.num_rows, BATCH):
+                batch = whole.slice(i, BATCH)
+                sets = shingle_sets(batch.column("text").to_pylist())
+                columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64())]
+                columns.append(pa.array([signature(s) for s in sets], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "sig"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, sig binary")
 

@@ -19,6 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from agrilake.llm.tokens import forget_encoder
 
 SAMPLE, PER_DOCUMENT = 300, 4
 STEPS = 64  # bytes of a window
@@ -270,12 +273,16 @@ def _sampler(per_document: int):
 
 
 def predict(docs: DataFrame, net: Network | None) -> DataFrame:
-    """`docs` with lang_pred and score, from the text alone; no shuffle."""
+    """`docs` with lang_pred and score, from the text alone; no shuffle. Columns of these names are taken out.
+
+    Where the input's own `lang_pred` or `score` must stay, ask for a struct of its columns beside the text."""
     shared = docs.sparkSession.sparkContext.broadcast(net)  # some thousand numbers
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name not in ("lang_pred", "score"))
-    names = [f.name for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
+    kept = docs.drop("lang_pred", "score")
+    names = kept.columns
+    schema = StructType([*kept.schema.fields]).add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoder()
         model = shared.value
         for whole in batches:
             for i in range(0, whole.num_rows, 512):
@@ -289,4 +296,4 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
                 columns = [batch.column(n) for n in names] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score"])
 
-    return docs.select(*names).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return kept.mapInArrow(run, schema)

@@ -7,14 +7,17 @@ tokenizers library only for new ones. Texts where a part could depend on its nei
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: Bytes of parts and their ids that a worker remembers, about; beyond it, what wasn't met again for a while is dropped.
-REMEMBERED = 128 << 20
+REMEMBERED = 64 << 20
 #: Longer parts are encoded each time instead of being remembered.
 LONGEST = 64
 
@@ -146,12 +149,24 @@ class WordEncoder:
 @lru_cache(maxsize=1)
 def encoder_of(path: str, joined: bool) -> WordEncoder:
     """The worker's encoder: its later tasks go on with what it remembers."""
+    release_memory()
     return WordEncoder(path, joined)
 
 
 def forget_encoder() -> None:
     """Frees what the worker's encoder remembers; tasks of other stages call it before they fill memory of their own."""
-    encoder_of.cache_clear()
+    if encoder_of.cache_info().currsize:
+        encoder_of.cache_clear()
+        release_memory()
+
+
+def release_memory() -> None:
+    """Gives back to the system what a worker's earlier tasks have freed, and Arrow and the C library still hold."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
 
 
 def as_ids(packed: bytes) -> np.ndarray:
