@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the one before it kept; its result is written as
 Parquet in the shared folder and read again. All but the last return the columns of `docs`.
+
+Cases: null and empty texts have no language and go at the first stage; rows without a doc_id are judged like others;
+equal rows have equal verdicts, but of near duplicates, equal rows among them, one stays; an empty table passes through and
+is packed into nothing; columns of any other name or type are carried unchanged, `score`, `lang_pred` and `row` among them.
+Rows are known by a 64-bit hash of (doc_id, text): of 10^10 rows about three pairs share one, and share their verdict.
 """
 
 from __future__ import annotations
@@ -26,7 +31,9 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """`docs` without the rows whose hash is in `rejected`.row; equal rows have equal verdicts."""
     rejected = stored(rejected.select("row").distinct(), "rejected-rows")
     hashes = F.broadcast(rejected) if rejected.count() <= SENT else rejected
-    return docs.withColumn("__row", _row()).join(hashes, F.col("__row") == F.col("row"), "left_anti").drop("__row")
+    # the documents' columns travel in one, so that none of their names can clash
+    own = docs.select(_row().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+    return own.join(hashes, "row", "left_anti").select("document.*")
 
 
 def _row():
@@ -36,18 +43,20 @@ def _row():
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps texts in one of the languages that the rows name."""
     net = byte_gru.fit(docs, fold(4) != 2)
-    known = byte_gru.predict(docs, net).where((F.col("lang_pred") != byte_gru.UNKNOWN) & (F.col("score") >= SURE))
-    return known.select(*docs.columns)
+    # by position, as the documents may have columns of the prediction's names
+    own = docs.toDF(*[c if c == "text" else f"column{i}" for i, c in enumerate(docs.columns)])
+    known = byte_gru.predict(own, net).where((F.col("lang_pred") != byte_gru.UNKNOWN) & (F.col("score") >= SURE))
+    return known.drop("lang_pred", "score").toDF(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = divergence.judge(docs.withColumn("row", _row()), carry=["row"])
+    judged = divergence.judge(docs.select("doc_id", "text", "lang", _row().alias("row")), carry=["row"])
     return _without(docs, judged.where(~F.col("kept")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group: of those with the group's smallest doc_id, nulls last, the one of the smallest hash."""
-    linked = adaptive_join.link(docs.withColumn("doc_id", _row()))
+    linked = adaptive_join.link(docs.select(_row().alias("doc_id"), "text"))
     linked = stored(linked.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group")), "linked-rows")
     others = linked.where(F.col("row") != F.col("group")).distinct()
     members = stored(others.union(others.select(F.col("group").alias("row"), "group").distinct()), "duplicate-rows")
@@ -61,7 +70,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = phrase_index.decontaminate(docs.withColumn("doc_id", _row()), items)
+    found = phrase_index.decontaminate(docs.select(_row().alias("doc_id"), "text"), items)
     return _without(docs, found.where("contaminated").select(F.col("doc_id").alias("row")))
 
 
