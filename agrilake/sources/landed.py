@@ -31,9 +31,11 @@ UNREADABLE_OR_PAYLOAD = T.StructType([*WEATHER_PAYLOAD.fields, T.StructField("un
 
 
 def landed_files(spark: SparkSession, path: str) -> DataFrame:
-    """FILE of everything below ``path``, from the file listing; contents are not read."""
+    """FILE of everything below ``path``, from the file listing; contents are not read.
+
+    An empty file is taken as still to be delivered, as Spark's readers give no row for it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(*_file_columns())
+    return files.select(*_file_columns()).where(F.col("payload_size") > 0)
 
 
 def _file_columns() -> list[Column]:

@@ -3,6 +3,7 @@ import json
 import pytest
 
 from agrilake.sources.landed import (
+    landed_files,
     read_statistics_payloads,
     read_statistics_rows,
     read_weather_payloads,
@@ -92,7 +93,8 @@ def test_unreadable_payloads_are_told_from_readable_ones(spark, tmp_path):
     for name, text in texts.items():
         (broken / f"{name}.json").write_text(text)
     found = {r["payload_file"][-6]: r for r in read_weather_payloads(spark, str(tmp_path / "weather")).collect()}
-    assert {name for name, r in found.items() if r["unreadable"] is not None} == {"a", "b", "c", "e"}
+    assert {name for name, r in found.items() if r["unreadable"] is not None} == {"a", "c", "e"}
+    assert set(found) == set("acde") and landed_files(spark, str(tmp_path / "weather")).count() == 4  # the empty one waits
     assert found["a"]["unreadable"] == texts["a"] and found["d"]["latitude"] == 1.5
     assert all(r["city"] == "A" and r["state"] == "MT" and r["payload_size"] == len(texts[n]) for n, r in found.items())
     for name, text in {"a": '[{"D1C": ', "b": "[]", "c": '[{"D1C": "h"}, {"D1C": "41"}]', "d": "{}"}.items():
