@@ -1,4 +1,4 @@
-"""Identifiers: content ids for records, dense surrogate ids for warehouse rows."""
+"""Identifiers: content ids for records, dense surrogate ids for dimension rows, ids made of the key for facts."""
 
 from __future__ import annotations
 
@@ -15,6 +15,29 @@ def weather_record_id() -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
+def packed_id(*parts: tuple[str, int]) -> Column:
+    """Whole numbers side by side in one positive long, the first one highest; ``parts`` are columns and their bits.
+
+    Different keys have different ids, so nothing has to be numbered, looked up or checked for collisions. A part that
+    is negative or needs more bits ends the job.
+    """
+    if sum(bits for _, bits in parts) > 63:
+        raise ValueError("an id has 63 bits")
+    packed = F.lit(0).cast("long")
+    for name, bits in parts:
+        part = F.col(name).cast("long")
+        too_large = F.raise_error(F.concat(F.lit(f"{name} does not fit {bits} bits: "), part.cast("string")))
+        packed = F.shiftleft(packed, bits) + F.when(part.between(0, (1 << bits) - 1), part).when(part.isNotNull(), too_large)
+    return packed
+
+
+def hashed_id(year: str, *others: str) -> Column:
+    """15 bits of the year over 48 bits of the md5 of the other columns; equal ids can only meet inside a year."""
+    text = F.concat_ws("|", *[F.col(name).cast("string") for name in others])
+    digits = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+    return F.shiftleft(F.col(year).cast("long"), 48) + digits
+
+
 def number_rows(rows: DataFrame, natural_key: list[str], id_column: str, first_id: Column | int = 1) -> DataFrame:
     """Give every row of ``rows`` (unique on ``natural_key``) a dense id starting at ``first_id``.
 

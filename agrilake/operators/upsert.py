@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,24 @@ def require_unique(batch: DataFrame, key: list[str], label: str) -> None:
         raise WarehouseLoadError(f"{label}: more than one row for {shown}")
 
 
+def refuse(message: str, *shown: str) -> Column:
+    """An expression that ends the job, with the values of the columns ``shown``."""
+    values = [F.concat(F.lit(f" {name}="), F.coalesce(F.col(name).cast("string"), F.lit("null"))) for name in shown]
+    return F.raise_error(F.concat(F.lit(message), *values))
+
+
+def refuse_repeated(rows: DataFrame, key: list[str], label: str) -> DataFrame:
+    """``rows``, which end the job at the second row of a key.
+
+    Rows come out hashed and sorted by ``key``, so a merge on it needs no exchange beyond this one, and a key met twice
+    stops its task at once, however many rows share it.
+    """
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+    counted = rows.withColumn("_place", place)
+    twice = refuse(f"{label}: more than one row for", *key)
+    return counted.where(F.when(F.col("_place") > 1, twice.cast("boolean")).otherwise(True)).drop("_place")
+
+
 def next_id(current: DataFrame, id_column: str) -> Column:
     """First free id of a table, as a scalar subquery."""
     return current.agg(F.coalesce(F.max(id_column), F.lit(0)) + 1).scalar()
@@ -52,16 +70,18 @@ def upsert(
     replaced: list[str],
     schema: T.StructType,
     id_column: str,
-    first_id: int | None = None,
+    new_id: Column | None = None,
 ) -> DataFrame:
     """Whole-row merge: a key in ``batch`` takes the batch's ``replaced`` columns, nulls included.
 
-    Every other column (id, load time) stays as first loaded. Each batch row draws an id from ``first_id`` on, by
-    default after the largest in ``current`` (give it when ``current`` is only a slice of the table), and keeps it
-    only if its key is new; like a database sequence this leaves gaps, and it leaves a single join to do.
+    Every other column (id, load time) stays as first loaded. ``new_id`` is the id of a new row as an expression over its
+    columns, which costs nothing. Without it (dimensions, which are small) each batch row draws a number after the largest
+    in ``current`` and keeps it only if its key is new; like a database sequence this leaves gaps.
     """
-    start = next_id(current, id_column) if first_id is None else first_id
-    drawn = number_rows(batch, key, id_column, start)
+    if new_id is None:
+        drawn = number_rows(batch, key, id_column, next_id(current, id_column))
+    else:
+        drawn = batch.withColumn(id_column, new_id)
     new = drawn.withColumn("_hit", F.lit(True)).alias("new")
     old = current.alias("old")
     in_batch = set(drawn.columns)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from agrilake.config import LakeConfig
@@ -20,33 +22,39 @@ def _seeded(sources: DataFrame, spark: SparkSession) -> DataFrame:
     return star.merge_sources(sources, seed, star.WEATHER_SOURCE_TYPE)
 
 
-def _merge_fact(
-    warehouse: Warehouse, base: Snapshot, table: str, staging: DataFrame, rows: DataFrame, merge
-) -> tuple[dict[str, str], int]:
-    """Rewrite the periods the batch touches; ids go on from the largest of the whole table."""
+def _staged(spark: SparkSession, root: str, name: str, staging: DataFrame) -> tuple[DataFrame, int]:
+    """``staging`` written once to the shared folder, and its rows: gold is read, typed and checked a single time."""
+    counts = Observation()
+    path = f"{LakeConfig(root).staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    staging.observe(counts, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(staging.schema).parquet(path), counts.get["rows"]
+
+
+def _merge_fact(warehouse: Warehouse, base: Snapshot, table: str, staging: DataFrame, rows: DataFrame, merge) -> dict[str, str]:
+    """Rewrite the periods the batch touches."""
     touched = warehouse.periods_of(table, staging)
-    current = warehouse.read(table, base, touched)
-    merged = merge(current, rows, base.last_ids.get(table, 0) + 1)
-    staged = warehouse.stage(table, merged, base.version + 1, touched)
-    return staged, warehouse.largest_id(table, staged, base)
+    merged = merge(warehouse.read(table, base, touched), rows)
+    return warehouse.stage(table, merged, base.version + 1, touched)
 
 
 def load_warehouse(
     spark: SparkSession, root: str, weather: DataFrame, agriculture: DataFrame | None = None
 ) -> int:
-    """Upsert gold rows into the star tables below ``root``. Returns weather rows plus agriculture rows."""
+    """Upsert gold rows into the star tables below ``root``. Returns weather rows plus agriculture rows.
+
+    Gold is read once, into a staging table. What the batch must fulfil is part of the plans that write (``refuse``
+    and its users): a row that breaks a rule ends the load before anything becomes current.
+    """
     warehouse = Warehouse(spark, root)
+    weather_fact, crop_fact = "fact_weather_daily", "fact_agriculture_production"
     try:
         base = warehouse.snapshot()
         version = base.version + 1
         loaded_at = F.current_timestamp()
-        staging = star.weather_staging(weather)
-        require_unique(star.location_rows(staging), star.LOCATION_KEY, "dim_location")
-        require_unique(staging, ["date_id", *star.LOCATION_KEY, "source"], "fact_weather_daily")
-        _require_state_codes(staging)
+        checked = star.refuse_incomplete_locations(star.weather_staging(weather))
+        staging, loaded = _staged(spark, root, weather_fact, checked)
 
         staged: dict[str, dict[str, str]] = {}
-        last_ids: dict[str, int] = {}
         staged["dim_date"] = warehouse.stage(
             "dim_date", star.merge_dates(warehouse.read("dim_date", base), staging), version
         )
@@ -57,8 +65,9 @@ def load_warehouse(
         sources = star.merge_sources(sources, staging, star.WEATHER_SOURCE_TYPE)
         crop_staging = None
         if agriculture is not None:
-            crop_staging = star.agriculture_staging(agriculture)
-            require_unique(crop_staging, ["year", "state_code", "product_code", "source"], "fact_agriculture_production")
+            checked = star.refuse_incomplete_crops(star.agriculture_staging(agriculture))
+            crop_staging, crop_rows = _staged(spark, root, crop_fact, checked)
+            loaded += crop_rows
             sources = star.merge_sources(sources, crop_staging, star.AGRICULTURE_SOURCE_TYPE)
             staged["dim_crop"] = warehouse.stage(
                 "dim_crop", star.merge_crops(warehouse.read("dim_crop", base), crop_staging), version
@@ -66,22 +75,19 @@ def load_warehouse(
         staged["dim_source"] = warehouse.stage("dim_source", sources, version)
 
         # Facts look their keys up in the dimensions as written, whose file sizes the planner can see.
-        dims = Snapshot(version, {**base.entries, **staged}, {})
+        dims = Snapshot(version, {**base.entries, **staged})
         sources = warehouse.read("dim_source", dims)
         rows = star.weather_fact_rows(staging, warehouse.read("dim_location", dims), sources, loaded_at)
-        fact = "fact_weather_daily"
-        staged[fact], last_ids[fact] = _merge_fact(
-            warehouse, base, fact, staging, rows, star.merge_weather_facts
-        )
-        loaded = staging.count()
+        staged[weather_fact] = _merge_fact(warehouse, base, weather_fact, staging, rows, star.merge_weather_facts)
         if crop_staging is not None:
             rows = star.agriculture_fact_rows(crop_staging, warehouse.read("dim_crop", dims), sources, loaded_at)
-            fact = "fact_agriculture_production"
-            staged[fact], last_ids[fact] = _merge_fact(
-                warehouse, base, fact, crop_staging, rows, star.merge_agriculture_facts
+            staged[crop_fact] = _merge_fact(
+                warehouse, base, crop_fact, crop_staging, rows, star.merge_agriculture_facts
             )
-            loaded += crop_staging.count()
-        warehouse.commit(base, staged, last_ids)
+            # hashed ids of one year can only meet in the year's own rows, all of which were just written
+            written = warehouse.read(crop_fact, Snapshot(version, staged))
+            require_unique(written, ["agriculture_fact_id"], crop_fact)
+        warehouse.commit(base, staged)
         return loaded
     except LakeError:
         raise
@@ -89,21 +95,6 @@ def load_warehouse(
         raise WarehouseLoadError(f"warehouse load failed: {failure}") from failure
 
 
-def _require_state_codes(staging: DataFrame) -> None:
-    """Weather states are two-letter codes in the warehouse, and nothing of a location may be missing."""
-    columns = [*star.LOCATION_KEY, "region", "latitude", "longitude"]
-    missing = F.lit(False)
-    for name in columns:
-        missing = missing | F.col(name).isNull()
-    bad = staging.agg(
-        F.count_if(missing).alias("missing"), F.count_if(F.length("state") > 2).alias("long_state")
-    ).first()
-    if bad["missing"]:
-        raise WarehouseLoadError(f"dim_location: {bad['missing']} rows without {', '.join(columns)}")
-    if bad["long_state"]:
-        raise WarehouseLoadError(f"dim_location: {bad['long_state']} rows whose state is no two-letter code")
-
-
 def load_gold(spark: SparkSession, config: LakeConfig, with_crops: bool = True) -> int:
     """Load the gold layers; crop statistics are skipped while there are none or when not wanted."""
     weather = read_layer(spark, config.layer("gold", "weather_daily"), GOLD_WEATHER)
@@ -125,6 +116,10 @@ def read_readings(spark: SparkSession, config: LakeConfig) -> tuple[DataFrame, s
 
 
 def read_crops(spark: SparkSession, config: LakeConfig) -> DataFrame:
-    """Crop statistics for reports, in display order; empty while there are none."""
-    crops = read_layer(spark, config.layer("gold", "agriculture_summary"), GOLD_AGRICULTURE)
+    """Crop statistics for reports, which order what they hand out; empty while there are none."""
+    return read_layer(spark, config.layer("gold", "agriculture_summary"), GOLD_AGRICULTURE)
+
+
+def in_display_order(crops: DataFrame) -> DataFrame:
+    """The crop statistics as they are handed out."""
     return crops.orderBy(*[F.col(c).asc_nulls_last() for c in ("year", "territory_name", "product_name")])

@@ -25,7 +25,6 @@ _COMMIT = T.StructType(
         T.StructField("table", T.StringType()),
         T.StructField("period", T.StringType()),
         T.StructField("path", T.StringType()),
-        T.StructField("last_id", T.LongType()),
     ]
 )
 WHOLE = ""
@@ -48,11 +47,10 @@ PERIODS = {
 
 @dataclass(frozen=True)
 class Snapshot:
-    """What the current commit says: table -> period -> directory, and the largest id a fact table gave out."""
+    """What the current commit says: table -> period -> directory."""
 
     version: int
     entries: dict[str, dict[str, str]]
-    last_ids: dict[str, int]
 
 
 class Warehouse:
@@ -65,14 +63,13 @@ class Warehouse:
         reader = self.spark.read.schema(_COMMIT).option("recursiveFileLookup", True)
         log = read_or_none(lambda: reader.json(commits))
         if log is None:
-            return Snapshot(0, {}, {})
+            return Snapshot(0, {})
         # One row per table and period of the newest commit: a few hundred for decades of months.
         rows = log.where(F.col("version") == log.agg(F.max("version")).scalar()).collect()
         entries: dict[str, dict[str, str]] = {}
         for row in rows:
             entries.setdefault(row["table"], {})[row["period"]] = row["path"]
-        last_ids = {row["table"]: row["last_id"] or 0 for row in rows}
-        return Snapshot(rows[0]["version"] if rows else 0, entries, last_ids)
+        return Snapshot(rows[0]["version"] if rows else 0, entries)
 
     def read(self, table: str, snapshot: Snapshot | None = None, periods: set[str] | None = None) -> DataFrame:
         """A table as of a snapshot (default: now), optionally only some of its periods."""
@@ -107,26 +104,14 @@ class Warehouse:
         """Periods the rows fall into; bounded by the calendar, not by the data."""
         return {row[0] for row in df.select(F.expr(PERIODS[table]).alias(PERIOD)).distinct().collect()}
 
-    def largest_id(self, table: str, staged: dict[str, str], base: Snapshot) -> int:
-        """Largest id given out so far: the base's, or one in the periods just staged."""
-        before = base.last_ids.get(table, 0)
-        if not staged:
-            return before
-        written = self.spark.read.schema(TABLES[table]).parquet(*staged.values())
-        id_column = TABLES[table].fieldNames()[0]
-        return max(before, written.agg(F.max(id_column)).first()[0] or 0)
-
-    def commit(
-        self, base: Snapshot, staged: dict[str, dict[str, str]], last_ids: dict[str, int] | None = None
-    ) -> Snapshot:
+    def commit(self, base: Snapshot, staged: dict[str, dict[str, str]]) -> Snapshot:
         """Make staged directories current. Refused when somebody else committed since ``base`` was read."""
         version = base.version + 1
         entries = {table: dict(held) for table, held in base.entries.items()}
         for table, held in staged.items():
             entries.setdefault(table, {}).update(held)
-        ids = {**base.last_ids, **(last_ids or {})}
         rows = [
-            (version, table, period, path, ids.get(table, 0))
+            (version, table, period, path)
             for table, held in entries.items()
             for period, path in held.items()
         ]
@@ -134,4 +119,4 @@ class Warehouse:
             raise WarehouseLoadError(f"another load has committed since version {base.version}")
         target = f"{self.root}/_commits/{version:012d}"
         self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("errorifexists").json(target)
-        return Snapshot(version, entries, ids)
+        return Snapshot(version, entries)

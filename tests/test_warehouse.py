@@ -93,6 +93,13 @@ def test_refused_batches_leave_the_warehouse_alone(spark, tmp_path):
     for message, batch in bad.items():
         with pytest.raises(WarehouseLoadError, match=message):
             load_warehouse(spark, root, batch)
+    crops = {
+        "dim_crop": _crops(spark, (2024, "51", "2713", None, 1000.0)),
+        "fact_agriculture_production": _crops(spark, *[(2024, "51", "2713", "Soja", 1000.0)] * 2),
+    }
+    for message, batch in crops.items():
+        with pytest.raises(WarehouseLoadError, match=message):
+            load_warehouse(spark, root, _gold(spark, (SEP, "Sorriso", 20.0)), batch)
     overflow = _gold(spark, (AUG, "Sorriso", 123456.0))
     with pytest.raises(WarehouseLoadError, match="load failed"):
         load_warehouse(spark, root, overflow)
@@ -103,7 +110,7 @@ def test_commit_refuses_a_stale_base(spark, tmp_path):
     root = str(tmp_path)
     load_warehouse(spark, root, _gold(spark, (AUG, "Sorriso", 20.0)))
     with pytest.raises(WarehouseLoadError, match="another load"):
-        Warehouse(spark, root).commit(Snapshot(0, {}, {}), {})
+        Warehouse(spark, root).commit(Snapshot(0, {}), {})
 
 
 def test_a_refused_load_leaves_committed_rows_alone(spark, tmp_path):
@@ -155,7 +162,7 @@ def test_readings_come_from_the_warehouse_else_from_gold(spark, tmp_path):
     assert read_crops(spark, config).count() == 0
     assert load_gold(spark, config) == 2
     readings, origin = read_readings(spark, config)
-    assert origin == "warehouse" and [r["city"] for r in readings.collect()] == ["Sorriso", "Vera"]
+    assert origin == "warehouse" and [r["city"] for r in star.in_day_order(readings).collect()] == ["Sorriso", "Vera"]
     assert len(readings.columns) == 24
 
 
@@ -187,3 +194,43 @@ def test_foreign_keys_hold_after_a_load(spark, tmp_path):
         warehouse.read("fact_weather_daily"), {key: warehouse.read(table) for key, table in references.items()}
     )
     assert {r["orphan_rows"] for r in report.collect()} == {0}
+
+
+def test_gold_is_read_once_by_a_load(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        read.add(1)
+        return value
+
+    gold = _gold(spark, (AUG, "Sorriso", 20.0), (AUG, "Vera", 21.0), (SEP, "Vera", 22.0))
+    gold = spark.createDataFrame(gold.collect(), GOLD_WEATHER)
+    counted = gold.withColumn("avg_temperature", F.udf(seen, "double")("avg_temperature"))
+    assert load_warehouse(spark, str(tmp_path), counted) == 3
+    assert read.value == 3
+
+
+def test_facts_without_their_dimension_rows_are_refused(spark, tmp_path):
+    staging = star.weather_staging(_gold(spark, (AUG, "Sorriso", 20.0), (AUG, "Vera", 21.0)))
+    locations = spark.createDataFrame([(1, "Sorriso", "MT")], "location_id long, city string, state string")
+    sources = spark.createDataFrame([(1, "open_meteo", "weather_api")], DIM_SOURCE)
+    rows = star.weather_fact_rows(staging, locations, sources, F.current_timestamp())
+    with pytest.raises(Exception, match="no location_id for city=Vera state=MT"):
+        rows.write.parquet(str(tmp_path / "facts"))
+
+
+def test_fact_ids_are_the_key(spark):
+    """Ids differ wherever keys do, whatever the order of loads; the checks add no exchange to the merge's own."""
+    days = spark.range(1, 60).selectExpr("cast(20260000 + id as int) as date_id")
+    keys = days.crossJoin(spark.range(1, 40).selectExpr("id as location_id")).crossJoin(
+        spark.range(1, 4).selectExpr("id as source_id")
+    )
+    rows = conform(keys, FACT_WEATHER).drop("weather_fact_id")
+    empty = spark.createDataFrame([], FACT_WEATHER)
+    facts = star.merge_weather_facts(empty, rows)
+    assert facts.select("weather_fact_id").distinct().count() == rows.count() == facts.count()
+    assert facts.where("weather_fact_id >> 36 <> date_id or weather_fact_id % 256 <> source_id").isEmpty()
+    later = star.merge_weather_facts(facts.where("location_id < 20"), rows.where("location_id > 10"))
+    assert later.select("weather_fact_id", "location_id").exceptAll(facts.select("weather_fact_id", "location_id")).isEmpty()
+    with pytest.raises(Exception, match="source_id does not fit 8 bits"):
+        star.merge_weather_facts(empty, rows.withColumn("source_id", F.lit(256).cast("long"))).collect()
