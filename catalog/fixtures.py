@@ -26,6 +26,7 @@ LIMITS = Thresholds(
 STATE_BY_TERRITORY = {str(key): f"NATION_{key}" for key in range(24)}
 FIRST_BATCH_END = dt.date(2024, 1, 20)
 SECOND_BATCH_START = dt.date(2024, 1, 15)
+SHARED_YEAR = 1995  # the year that both loads of crop statistics bring
 
 
 # The columns used here, so that no read has to open files to infer a schema.

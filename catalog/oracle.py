@@ -484,62 +484,55 @@ UNION ALL SELECT source_id, source_name, 'agriculture_statistics' FROM office_id
 _add(
     "dim_crop",
     CROPS
-    + ", named AS (SELECT product_code AS crop_code, MAX(product_name) AS crop_name FROM crops GROUP BY 1), ids AS ("
-    + _bucketed("named", ["crop_code"], "crop_id")
+    + """,
+early AS (SELECT product_code AS crop_code, MAX(product_name) AS crop_name FROM crops
+          WHERE year <= 1995 AND product_code < 'Brand#4' GROUP BY 1),
+late AS (SELECT product_code AS crop_code, MAX(product_name) || ' II' AS crop_name FROM crops
+         WHERE year >= 1995 GROUP BY 1),
+first_ids AS ("""
+    + _bucketed("early", ["crop_code"], "crop_id")
+    + "), late_ids AS ("
+    + _bucketed("late", ["crop_code"], "crop_id", "(SELECT MAX(crop_id) + 1 FROM first_ids)")
     + ")",
-    "SELECT crop_id, crop_code, crop_name FROM ids",
+    """SELECT f.crop_id, crop_code, COALESCE(l.crop_name, f.crop_name) AS crop_name
+FROM first_ids f LEFT JOIN late l USING (crop_code)
+UNION ALL SELECT crop_id, crop_code, crop_name FROM late_ids ANTI JOIN early USING (crop_code)""",
 )
+_WEATHER_FACT_ID = "CAST(date_id AS BIGINT) * 68719476736 + location_id * 256 + source_id AS weather_fact_id"
+_NO_FACT_COLUMNS = "event_date, city, state, region, latitude, longitude"
 _add(
     "fact_weather",
-    FACT + ", ids AS (" + _bucketed("keyed", ["date_id", "location_id", "source_id"], "weather_fact_id") + ")",
-    """SELECT * EXCLUDE (event_date, city, state, region, latitude, longitude), '2024-02-01 00:00:00' AS loaded_at
-FROM ids""",
+    FACT,
+    f"""SELECT {_WEATHER_FACT_ID}, * EXCLUDE ({_NO_FACT_COLUMNS}), '2024-02-01 00:00:00' AS loaded_at FROM keyed""",
 )
 _add(
     "fact_agri",
     CROPS
-    + ", named AS (SELECT DISTINCT p_brand AS crop_code FROM part), crop AS ("
+    + ", named AS (SELECT DISTINCT product_code AS crop_code FROM crops), crop AS ("
     + _bucketed("named", ["crop_code"], "crop_id")
-    + """),
+    + f"), offices AS (SELECT DISTINCT {_OFFICE} AS source_name FROM crops), office AS ("
+    + _bucketed("offices", ["source_name"], "source_id")
+    + f"""),
 keyed AS (
-  SELECT year, territory_code AS state_code, crop_id,
-         CAST(CASE WHEN product_code < 'Brand#2' THEN 1 ELSE 2 END AS BIGINT) AS source_id, territory_name AS state_name,
-         produced_quantity, production_value, harvested_area, reported_yield_kg_ha, reported_yield_t_ha,
+  SELECT year, territory_code AS state_code, crop_id, source_id, territory_name AS state_name,
+         produced_quantity + CASE WHEN year >= 1995 THEN 1 ELSE 0 END AS produced_quantity,
+         CASE WHEN year < 1995 THEN production_value END AS production_value,
+         harvested_area, reported_yield_kg_ha, reported_yield_t_ha,
          CAST(ROUND(CAST(calculated_yield_t_ha AS DECIMAL(28, 9)), 4) AS DOUBLE) AS calculated_yield_t_ha
-  FROM crops JOIN crop ON crop_code = product_code
-),
-ids AS ("""
-    + _bucketed("keyed", ["year", "state_code", "crop_id", "source_id"], "agriculture_fact_id")
-    + ")",
-    "SELECT *, '2024-02-01 00:00:00' AS loaded_at FROM ids",
+  FROM crops JOIN crop ON crop_code = product_code JOIN office ON source_name = {_OFFICE}
+)""",
+    """SELECT CAST(year AS BIGINT) * 281474976710656
+         + CAST('0x' || substr(md5(concat_ws('|', state_code, crop_id, source_id)), 1, 12) AS BIGINT) AS agriculture_fact_id,
+       *, CASE WHEN year <= 1995 THEN '2024-02-01 00:00:00' ELSE '2024-02-02 00:00:00' END AS loaded_at FROM keyed""",
 )
 _add(
     "fact_upsert",
-    FACT.replace(
-        _MEASURES,
-        _numeric("avg_temperature", 6)
-        + ", CAST(ROUND(CAST(gold.avg_temperature + 1 AS DECIMAL(28, 9)), 2) AS DOUBLE) AS warmer, "
-        + _numeric("avg_humidity", 6),
-    )
-    + """,
-early AS (SELECT * FROM keyed WHERE event_date <= DATE '2024-01-20'),
-late AS (SELECT * FROM keyed WHERE event_date >= DATE '2024-01-15'),
-first_ids AS ("""
-    + _bucketed("early", ["date_id", "location_id", "source_id"], "weather_fact_id")
-    + """),
-late_ids AS ("""
-    + _bucketed(
-        "late",
-        ["date_id", "location_id", "source_id"],
-        "weather_fact_id",
-        "(SELECT MAX(weather_fact_id) + 1 FROM first_ids)",
-    )
-    + "), fresh_ids AS (SELECT * FROM late_ids ANTI JOIN early USING (date_id, location_id, source_id))",
-    """SELECT f.weather_fact_id, f.date_id, f.location_id, f.source_id,
-       CASE WHEN l.date_id IS NOT NULL THEN l.warmer ELSE f.avg_temperature END AS avg_temperature,
-       CASE WHEN l.date_id IS NULL THEN f.avg_humidity END AS avg_humidity, '2024-02-01 00:00:00' AS loaded_at
-FROM first_ids f LEFT JOIN late l USING (date_id, location_id, source_id)
-UNION ALL SELECT weather_fact_id, date_id, location_id, source_id, warmer, NULL, '2024-02-02 00:00:00' FROM fresh_ids""",
+    FACT,
+    f"""SELECT {_WEATHER_FACT_ID}, * EXCLUDE ({_NO_FACT_COLUMNS}) REPLACE (
+  CASE WHEN event_date >= DATE '2024-01-15' THEN avg_temperature + 1 ELSE avg_temperature END AS avg_temperature,
+  CASE WHEN event_date < DATE '2024-01-15' THEN avg_humidity END AS avg_humidity),
+  CASE WHEN event_date <= DATE '2024-01-20' THEN '2024-02-01 00:00:00' ELSE '2024-02-02 00:00:00' END AS loaded_at
+FROM keyed""",
 )
 _add(
     "fk_check",

@@ -28,7 +28,7 @@ from catalog import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-LOADED_AT = "2024-02-01 00:00:00"
+LOADED_AT, LATER = "2024-02-01 00:00:00", "2024-02-02 00:00:00"
 
 
 def query(build: Query) -> Query:
@@ -307,7 +307,11 @@ def dim_source(spark, sf):
 
 @query
 def dim_crop(spark, sf):
-    return star.merge_crops(_empty(spark, DIM_CROP), star.agriculture_staging(fx.crops(spark, sf)))
+    """Two loads: the second brings new crops and gives every crop it knows another name."""
+    staging = star.agriculture_staging(fx.crops(spark, sf))
+    early = staging.where(f"year <= {fx.SHARED_YEAR} and product_code < 'Brand#4'")
+    late = staging.where(f"year >= {fx.SHARED_YEAR}").withColumn("product_name", F.concat("product_name", F.lit(" II")))
+    return star.merge_crops(star.merge_crops(_empty(spark, DIM_CROP), early), late)
 
 
 @query
@@ -317,31 +321,40 @@ def fact_weather(spark, sf):
     return fx.compared(star.merge_weather_facts(_empty(spark, FACT_WEATHER), rows))
 
 
+def _stamped(rows, loaded_at):
+    return rows.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp"))
+
+
 @query
 def fact_agri(spark, sf):
+    """Two loads that share a year; the second reports a ton more and no value, and arrives later."""
     staging = star.agriculture_staging(fx.sourced_crops(spark, sf))
-    products = fx.table(spark, sf, "part").select(F.col("p_brand").alias("product_code"), F.col("p_brand").alias("product_name"))
-    crops = star.merge_crops(_empty(spark, DIM_CROP), products)
-    offices = enumerate(("ibge_pam", "survey"), start=1)
-    sources = spark.createDataFrame([(i, name, star.AGRICULTURE_SOURCE_TYPE) for i, name in offices], DIM_SOURCE)
+    crops = star.merge_crops(_empty(spark, DIM_CROP), staging)
+    sources = star.merge_sources(_empty(spark, DIM_SOURCE), staging, star.AGRICULTURE_SOURCE_TYPE)
     rows = star.agriculture_fact_rows(staging, crops, sources, F.lit(LOADED_AT).cast("timestamp"))
-    return fx.compared(star.merge_agriculture_facts(_empty(spark, FACT_AGRICULTURE), rows))
+    early = rows.where(F.col("year") <= fx.SHARED_YEAR)
+    changed = {
+        "produced_quantity": (F.col("produced_quantity") + 1).cast("decimal(18,2)"),
+        "production_value": F.lit(None).cast("decimal(18,2)"),
+    }
+    late = _stamped(rows.where(F.col("year") >= fx.SHARED_YEAR).withColumns(changed), LATER)
+    first = star.merge_agriculture_facts(_empty(spark, FACT_AGRICULTURE), early)
+    return fx.compared(star.merge_agriculture_facts(first, late))
 
 
 @query
 def fact_upsert(spark, sf):
-    """Two overlapping loads; the second is one degree warmer, arrives later and lacks humidity."""
+    """Two overlapping loads; the second is one degree warmer, arrives later and lacks humidity. All measures."""
     _, locations, sources = _dimensions(spark, sf)
-    rows = fx.gold(spark, sf)
-    early = rows.where(F.col("event_date") <= F.lit(fx.FIRST_BATCH_END))
-    late = rows.where(F.col("event_date") >= F.lit(fx.SECOND_BATCH_START)).withColumns(
-        {"avg_temperature": F.col("avg_temperature") + 1, "avg_humidity": F.lit(None).cast("double")}
-    )
-    first = star.merge_weather_facts(_empty(spark, FACT_WEATHER), _facts(spark, early, locations, sources))
-    later = _facts(spark, late, locations, sources).withColumn("loaded_at", F.lit("2024-02-02 00:00:00").cast("timestamp"))
-    merged = star.merge_weather_facts(first, later)
-    kept = ["weather_fact_id", "date_id", "location_id", "source_id", "avg_temperature", "avg_humidity", "loaded_at"]
-    return fx.compared(merged.select(*kept))
+    rows = _facts(spark, fx.gold(spark, sf), locations, sources)
+    early = rows.where(F.col("date_id") <= int(f"{fx.FIRST_BATCH_END:%Y%m%d}"))
+    changed = {
+        "avg_temperature": (F.col("avg_temperature") + 1).cast("decimal(6,2)"),
+        "avg_humidity": F.lit(None).cast("decimal(6,2)"),
+    }
+    late = rows.where(F.col("date_id") >= int(f"{fx.SECOND_BATCH_START:%Y%m%d}")).withColumns(changed)
+    first = star.merge_weather_facts(_empty(spark, FACT_WEATHER), early)
+    return fx.compared(star.merge_weather_facts(first, _stamped(late, LATER)))
 
 
 @query
@@ -361,7 +374,7 @@ def fk_check(spark, sf):
 def star_read(spark, sf):
     dates, locations, sources = _dimensions(spark, sf)
     facts = _facts(spark, fx.gold(spark, sf), locations, sources)
-    return fx.compared(star.read_star(facts, dates, locations))
+    return fx.compared(star.in_day_order(star.read_star(facts, dates, locations)))
 
 
 # --- reports ----------------------------------------------------------------------------------------------
