@@ -14,15 +14,13 @@ from pyspark.sql import functions as F
 from agrilake.config import AGRICULTURE_SOURCE, WEATHER_SOURCE, LakeConfig
 from agrilake.operators import gates
 from agrilake.operators.agriculture import agriculture_gold, agriculture_silver
-from agrilake.operators.gold import weather_gold
 from agrilake.operators.quality import judge, split_judged
-from agrilake.operators.silver import weather_silver
+from agrilake.plans.refinement import refine_weather
 from agrilake.plans.warehouse_load import load_gold
 from agrilake.schemas import (
     BRONZE_AGRICULTURE,
     BRONZE_WEATHER,
     SILVER_AGRICULTURE,
-    SILVER_WEATHER,
     WEATHER_RECORD,
 )
 from agrilake.sources import lake
@@ -208,22 +206,6 @@ def ingest_agriculture(
     return {"records_extracted": rows, "output_path": target, **({"payloads_rejected": broken} if broken else {})}
 
 
-def refine_weather(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
-    """Bronze to silver to gold; a failed gate stops before the next layer."""
-    limits = config.thresholds
-    bronze, silver, gold = (
-        config.layer("bronze", "weather"),
-        config.layer("silver", "weather"),
-        config.layer("gold", "weather_daily"),
-    )
-    gates.check_path(spark, bronze, gates.bronze_weather_gate(limits))
-    silver_rows = lake.write_by_month(weather_silver(read_layer(spark, bronze, BRONZE_WEATHER), limits), silver)
-    gates.check_path(spark, silver, gates.silver_weather_gate(limits))
-    gold_rows = lake.write_by_month(weather_gold(read_layer(spark, silver, SILVER_WEATHER), limits), gold)
-    gates.check_path(spark, gold, gates.gold_weather_gate(limits))
-    return {"silver": silver_rows, "gold": gold_rows}
-
-
 def refine_agriculture(spark: SparkSession, config: LakeConfig) -> dict[str, int]:
     silver, gold = config.layer("silver", "agriculture"), config.layer("gold", "agriculture_summary")
     bronze = read_files(spark, config.layer("bronze", "agriculture"), BRONZE_AGRICULTURE)

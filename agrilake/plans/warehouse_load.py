@@ -12,9 +12,12 @@ from agrilake.errors import LakeError, WarehouseLoadError
 from agrilake.operators import star
 from agrilake.operators.upsert import require_unique
 from agrilake.schemas import GOLD_AGRICULTURE, GOLD_WEATHER
-from agrilake.sources.reading import read_layer, read_layer_or_none
+from agrilake.sources.metadata import MetadataStore
+from agrilake.sources.reading import as_written, in_months, listed, read_layer, read_layer_or_none
 from agrilake.sources.warehouse import Snapshot, Warehouse
 
+STEP = "load_weather"
+
 
 def _seeded(sources: DataFrame, spark: SparkSession) -> DataFrame:
     """The source dimension always knows the weather source."""
@@ -96,12 +99,29 @@ def load_warehouse(
 
 
 def load_gold(spark: SparkSession, config: LakeConfig, with_crops: bool = True) -> int:
-    """Load the gold layers; crop statistics are skipped while there are none or when not wanted."""
-    weather = read_layer(spark, config.layer("gold", "weather_daily"), GOLD_WEATHER)
+    """Load the months of weather gold written since they were last loaded, and the crop statistics.
+
+    Crops are skipped while there are none or when not wanted. A warehouse without weather takes every month.
+    """
+    store = MetadataStore(spark, config.metadata_root)
+    gold = config.layer("gold", "weather_daily")
+    weather = read_layer(spark, gold, GOLD_WEATHER)
+    files = listed(spark, gold)
+    months = []
+    if files is not None:
+        written = as_written(files, F.col("year") * 100 + F.col("month"))
+        if "fact_weather_daily" in Warehouse(spark, config.warehouse_root).snapshot().entries:
+            months, _ = store.pending(STEP, written)
+            weather = weather.where(in_months([int(month) for month, _ in months]))
+        else:
+            months = [tuple(r) for r in written.collect()]  # one row per month
     crops = None
     if with_crops:
         crops = read_layer_or_none(spark, config.layer("gold", "agriculture_summary"), GOLD_AGRICULTURE)
-    return load_warehouse(spark, config.warehouse_root, weather, crops)
+    loaded = load_warehouse(spark, config.warehouse_root, weather, crops)
+    if months:
+        store.note(STEP, months, "done")
+    return loaded
 
 
 def read_readings(spark: SparkSession, config: LakeConfig) -> tuple[DataFrame, str]:

@@ -224,6 +224,12 @@ INGESTED_FILES = _struct(
     ("through", T.DateType()),
     ("saved_at", T.TimestampType()),
 )
+# How far a step is with an item (a run, a month) as it was at ``written_at``, in milliseconds.
+STEP_PROGRESS = _struct(
+    *_all(_S, "step", "item", "status"),
+    ("written_at", _L),
+    ("saved_at", T.TimestampType()),
+)
 RUN_LOG = _struct(
     *_all(_S, "pipeline_execution_id", "started_at", "finished_at"),
     ("duration_seconds", _D),

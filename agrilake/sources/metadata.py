@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agrilake.operators.silver import latest_per_key
-from agrilake.schemas import DATASET_METRICS, INGESTED_FILES, PIPELINE_STATE, RUN_LOG
+from agrilake.schemas import DATASET_METRICS, INGESTED_FILES, PIPELINE_STATE, RUN_LOG, STEP_PROGRESS
 from agrilake.sources.landed import FILE
 from agrilake.sources.reading import read_or_none
 
@@ -87,6 +87,23 @@ class MetadataStore:
         stamps = [F.lit(pipeline_name).alias("pipeline_name"), F.lit(_now()).alias("saved_at")]
         files.select(*FILE, "done", "through", *stamps).write.mode("append").json(f"{self.root}/ingested_files")
 
+    def pending(self, step: str, items: DataFrame) -> tuple[list[tuple[str, int]], bool]:
+        """The (item, written_at) the step isn't done with as they are now, and whether it broke in one of them."""
+        log = self._read("step_progress", STEP_PROGRESS).where(F.col("step") == step)
+        latest = latest_per_key(log, ["item"], [F.col("saved_at").desc_nulls_last()])
+        notes = latest.select("item", "status", F.col("written_at").alias("noted_at"))
+        done = F.coalesce((F.col("status") == "done") & (F.col("noted_at") == F.col("written_at")), F.lit(False))
+        # runs or months written since the step's last time
+        waiting = items.join(notes, "item", "left").where(~done).collect()
+        return sorted((r["item"], r["written_at"]) for r in waiting), any(r["status"] == "started" for r in waiting)
+
+    def note(self, step: str, items: list[tuple[str, int]], status: str) -> None:
+        """The step's ``status`` with these (item, written_at)."""
+        now = _now()
+        entries = [(step, item, status, written_at, now) for item, written_at in items]
+        notes = self.spark.createDataFrame(entries, STEP_PROGRESS).coalesce(1)
+        notes.write.mode("append").json(f"{self.root}/step_progress")
+
     def append_run(self, execution_id: str, **figures: Any) -> None:
         self._append("runs", RUN_LOG, {"pipeline_execution_id": execution_id, **figures})
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,31 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return spark.createDataFrame([], schema or T.StructType()) if found is None else nan_to_null(found)
 
 
+def listed(spark: SparkSession, path: str) -> DataFrame | None:
+    """Path, length, ``modificationTime`` and partition columns of a dataset's files, from the listing alone; None when
+    the dataset is not there."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    found = read_or_none(lambda: files.load(path))
+    return None if found is None else found.drop("content")
+
+
+def in_months(months: list[int]) -> Column:
+    """Whether year and month, the partition columns, are among ``months``, each given as year * 100 + month."""
+    years: dict[int, list[int]] = {}
+    for month in months:
+        years.setdefault(month // 100, []).append(month % 100)
+    found = F.lit(False)
+    for year, its_months in years.items():
+        found = found | (F.col("year") == year) & F.col("month").isin(its_months)
+    return found
+
+
+def as_written(files: DataFrame, item: Column) -> DataFrame:
+    """(item, written_at): the newest file, in milliseconds, of every ``item`` of a listing."""
+    newest = F.unix_millis(F.max("modificationTime")).alias("written_at")
+    return files.groupBy(item.cast("string").alias("item")).agg(newest)
+
+
 def updated_at(spark: SparkSession, path: str) -> DataFrame:
     """One row, ``updated_at``: newest file of a dataset, null when there is none. Reads no file contents."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
