@@ -1,9 +1,11 @@
 """Sharding by a weighted hash tree: region, then rack, then shard, each chosen by weighted hash draws.
 
-A leaf's draw for a key is -ln(u) / weight with u from a hash of key and leaf name: an exponential waiting time. A
-rack or region waits for the first of its own leaves, so its draw is distributed as if its weight were the sum of
-theirs, and descending by the smallest draw at every level picks a leaf in proportion to its weight. A change of one
-leaf's weight changes the draws of its own rack and region only: keys move into it, or out of it, and nowhere else.
+A child's draw for a key is -ln(u) / weight with u from a hash of key and the child's path, and its weight the sum of its
+leaves': an exponential waiting time. Among the children of a node the smallest draw wins, so each is chosen in
+proportion to its weight, on every level by draws of its own. Where a leaf's weight changes, only the draws of its own
+region, rack and itself do: keys move into the region or out of it, and inside it into the rack or out of it; in
+all other racks, and between all other regions, every key stays. A new leaf in a region of its own takes keys into itself
+and moves no other; that is how the law `key` adds a shard.
 
 Cases: a null key is hashed as a key of its own; a null text has size 0 + 1 and the checksum of no bytes; equal rows
 get different slots; an empty table gives an empty result; other columns of `docs` are ignored whatever their names.
@@ -11,8 +13,6 @@ get different slots; an empty table gives an empty result; other columns of `doc
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,10 +32,22 @@ def leaves(tree: Tree) -> dict[int, float]:
     return found
 
 
-def draw(key: Column, shard: int, weight: float) -> Column:
-    """Exponential draw of a leaf: 52 bits of md5 as a number in (0, 1)."""
-    bits = F.conv(F.substring(F.md5(F.concat_ws("/", key, F.lit(f"shard-{shard}"))), 1, 13), 16, 10).cast("double")
-    return -F.log((bits + 0.5) / float(1 << 52)) / F.lit(float(weight))
+def weight_of(node: dict | float) -> float:
+    return sum(map(weight_of, node.values())) if isinstance(node, dict) else float(node)
+
+
+def choices(node: dict | float, path: tuple = ()) -> list[tuple[tuple, float]]:
+    """(path, weight) of all children that have siblings to be chosen from."""
+    if not isinstance(node, dict):
+        return []
+    own = [((*path, name), weight_of(child)) for name, child in node.items()] if len(node) > 1 else []
+    return own + [c for name, child in node.items() for c in choices(child, (*path, name))]
+
+
+def draw(key: Column, path: tuple, weight: float) -> Column:
+    """Exponential draw of a child: 52 bits of md5 as a number in (0, 1)."""
+    bits = F.conv(F.substring(F.md5(F.concat_ws("/", key, *map(F.lit, map(str, path)))), 1, 13), 16, 10).cast("double")
+    return -F.log((bits + 0.5) / float(1 << 52)) / F.lit(weight)
 
 
 def _first(options: list[tuple[Column, Column]]) -> Column:
@@ -44,27 +56,25 @@ def _first(options: list[tuple[Column, Column]]) -> Column:
     return F.array_min(F.array(*ranked))["value"]
 
 
-def place(draws: dict[int, Column], tree: Tree) -> Column:
-    """Shard found by descending the tree with the draws of its leaves."""
-    least = lambda columns: reduce(F.least, columns) if len(columns) > 1 else columns[0]
-    regions = []
-    for racks in tree.values():
-        inside = []
-        for rack in racks.values():
-            shard = _first([(draws[s], F.lit(s)) for s in rack])
-            inside.append((least([draws[s] for s in rack]), shard))
-        regions.append((least([d for d, _ in inside]), _first(inside)))
-    return _first(regions)
+def descend(node: dict | float, draws: dict[tuple, Column], path: tuple = ()) -> Column:
+    """Shard found below a node by the smallest draw on every level."""
+    if not isinstance(node, dict):
+        return F.lit(path[-1])
+    below = {(*path, name): descend(child, draws, (*path, name)) for name, child in node.items()}
+    return _first([(draws[at], shard) for at, shard in below.items()]) if len(below) > 1 else next(iter(below.values()))
 
 
 def with_shards(rows: DataFrame, key: Column, trees: dict[str, Tree]) -> DataFrame:
-    """`rows` with one shard column per tree; equal leaves of several trees share their draws."""
-    wanted = sorted({leaf for tree in trees.values() for leaf in leaves(tree).items()})
-    name = {leaf: f"__draw_{i}" for i, leaf in enumerate(wanted)}
+    """`rows` with one shard column per tree; equal children of several trees share their draws."""
+    for tree in trees.values():
+        leaves(tree)
+    wanted = dict.fromkeys(choice for tree in trees.values() for choice in choices(tree))
+    name = {choice: f"__draw_{i}" for i, choice in enumerate(wanted)}
     text = F.coalesce(key.cast("string"), F.lit("no key"))
-    drawn = rows.withColumns({name[leaf]: draw(text, *leaf) for leaf in wanted})
+    drawn = rows.withColumns({name[choice]: draw(text, *choice) for choice in wanted})
     placed = {
-        column: place({s: F.col(name[s, w]) for s, w in leaves(tree).items()}, tree) for column, tree in trees.items()
+        column: descend(tree, {path: F.col(name[path, weight]) for path, weight in choices(tree)})
+        for column, tree in trees.items()
     }
     return drawn.withColumns(placed).drop(*name.values())
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
@@ -7,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from agrilake.llm import byte_gru, divergence, hash_tree, lattice, string_svm, tag_paths
@@ -186,8 +188,6 @@ def test_hash_tree_law(corpus, nothing, spark, sf_dir):
 
 
 def test_hash_tree_shares_follow_weights(spark):
-    from pyspark.sql import functions as F
-
     tree = {"a": {"r": {0: 1.0, 1: 2.0}}, "b": {"s": {2: 3.0}}}
     more = {"a": {"r": {0: 1.0, 1: 2.0}}, "b": {"s": {2: 4.0}}}
     rows = hash_tree.with_shards(spark.range(6000), F.col("id"), {"x": tree, "y": more}).collect()
@@ -256,3 +256,51 @@ def test_near_duplicates_go_by_row(spark, sf_dir):
 def test_pipeline_runs(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert rows and {"doc_id", "piece", "sequence_id", "offset"} <= set(rows[0].asDict())
+
+
+def _drawn(key, path, weight):
+    bits = int(hashlib.md5("/".join(map(str, (key, *path))).encode()).hexdigest()[:13], 16)
+    return -math.log((bits + 0.5) / (1 << 52)) / weight
+
+
+def _total(node):
+    return sum(map(_total, node.values())) if isinstance(node, dict) else node
+
+
+def _descended(node, key, path=()):
+    if not isinstance(node, dict):
+        return path[-1]
+    best = min(node, key=lambda name: _drawn(key, (*path, name), _total(node[name])))
+    return _descended(node[best], key, (*path, best))
+
+
+def test_hash_tree_equals_brute_force(corpus, spark, sf_dir):
+    for docs in (corpus, spark.read.parquet(f"{sf_dir}/documents.parquet")):
+        expected = []
+        for r in docs.select("doc_id", "text").collect():
+            key, text = "no key" if r["doc_id"] is None else r["doc_id"], (r["text"] or "").encode()
+            expected.append((r["doc_id"], len(text) + 1, zlib.crc32(text), _descended(TREE, key), _descended(GROWN, key)))
+        found = hash_tree.shard_documents(docs, TREE, GROWN)
+        rows = found.select("doc_id", "size", "text_crc32", "shard", "grown_shard", "slot").collect()
+        assert sorted(map(str, (tuple(r)[:5] for r in rows))) == sorted(map(str, expected))
+        for shard in range(8):
+            slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
+            assert slots == list(range(len(slots)))
+
+
+def test_hash_tree_moves_only_where_weights_change(spark):
+    """A heavier leaf: keys come into its region, and inside it into its rack; nothing else moves."""
+    tree = {"a": {"r": {0: 1.0, 1: 1.0}, "s": {2: 1.0, 3: 1.0}}, "b": {"t": {4: 1.0}, "u": {5: 1.0}}}
+    heavy = {"a": {"r": {0: 3.0, 1: 1.0}, "s": {2: 1.0, 3: 1.0}}, "b": tree["b"]}
+    flat = {"a": {"r": {0: 1.0}}, "b": {"r": {1: 1.0, 2: 1.0, 3: 1.0, 4: 1.0, 5: 1.0}}}
+    rows = hash_tree.with_shards(spark.range(6000), F.col("id"), {"x": tree, "y": heavy, "z": flat}).collect()
+    moved = {(r["x"], r["y"]) for r in rows if r["x"] != r["y"]}
+    # from the other region's shards to any of this one, from rack s into rack r, inside rack r into 0
+    assert moved <= {(x, y) for x in (4, 5) for y in (0, 1, 2, 3)} | {(x, y) for x in (2, 3) for y in (0, 1)} | {(1, 0)}
+    assert {x for x, _ in moved} == {1, 2, 3, 4, 5}
+    share = sum(r["y"] in (0, 1, 2, 3) for r in rows) / 6000
+    assert abs(share - 6 / 8) < 0.03
+    # the same leaves grouped in another way are other draws
+    assert sum(r["x"] != r["z"] for r in rows) > 3000
+    # a region is won by its weight, whatever is inside
+    assert abs(sum(r["z"] == 0 for r in rows) / 6000 - 1 / 6) < 0.03
