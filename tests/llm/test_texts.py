@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -304,3 +305,43 @@ def test_hash_tree_moves_only_where_weights_change(spark):
     assert sum(r["x"] != r["z"] for r in rows) > 3000
     # a region is won by its weight, whatever is inside
     assert abs(sum(r["z"] == 0 for r in rows) / 6000 - 1 / 6) < 0.03
+
+
+def _gapped(word):
+    """All subsequences of three and four letters within a reach, by enumeration: {letters: decayed count}."""
+    letters = [0, *(ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 5 for c in word), 0]
+    found = Counter()
+    for size in (3, 4):
+        for at in itertools.combinations(range(len(letters)), size):
+            if at[-1] - at[0] < string_svm.REACH:
+                found[tuple(letters[i] for i in at)] += string_svm.DECAY ** (at[-1] - at[0] - size + 1)
+    return found
+
+
+def test_subsequences_and_kernel_equal_enumeration():
+    words = ["ab", "idiot", "id1iot", "i", "", "straße", "aaaaaaaaa", "mississippi"]
+    for word in words:
+        found = Counter()
+        for features, _, weight in string_svm.subsequences([word]):
+            for feature in features.tolist():
+                size, number = (4, feature - string_svm.THREE) if feature >= string_svm.THREE else (3, feature)
+                found[tuple(number >> 5 * (size - 1 - k) & 31 for k in range(size))] += weight
+        expected = _gapped(word)
+        assert found.keys() == expected.keys()
+        assert all(abs(found[k] - expected[k]) < 1e-9 for k in found)
+
+    landmark = _gapped("idiot")
+    row_of = np.zeros(string_svm.FEATURES, np.int32)
+    rows = np.zeros((len(landmark) + 1, 1), np.float32)
+    for i, (letters, value) in enumerate(landmark.items(), start=1):
+        number = 0
+        for code in letters:
+            number = number * 32 + code
+        row_of[number + (string_svm.THREE if len(letters) == 4 else 0)] = i
+        rows[i, 0] = value
+    values = string_svm.kernel_features(words, row_of, rows)[:, 0]
+    norms = string_svm._norms(np.array([len(w) for w in words]))
+    products = [sum(_gapped(w)[k] * v for k, v in landmark.items()) for w in words]
+    assert np.allclose(values, np.array(products) / norms, rtol=1e-4, atol=1e-4)
+    # a letter put in between costs a part of the likeness, not all
+    assert values[1] > values[2] > values[7]
