@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agrilake.config import Thresholds
 from agrilake.functions import risk
-from agrilake.operators.rolling import Rolling, rolling_rows
+from agrilake.operators.rolling import Rolling, RollingDays, rolling_days, rolling_rows
 from agrilake.schemas import DAILY_KEYS, DAILY_MEASURES
 
 WEEK, MONTH = 7, 30
@@ -18,6 +18,13 @@ ROLLING = [
     Rolling("avg_temperature_7d", "avg", "avg_temperature", WEEK),
     Rolling("avg_temperature_30d", "avg", "avg_temperature", MONTH),
 ]
+CALENDAR = [
+    RollingDays("dry_days_in_7_days", "sum", "is_dry_day", WEEK),
+    RollingDays("precipitation_in_7_days", "sum", "total_precipitation", WEEK),
+    RollingDays("precipitation_in_30_days", "sum", "total_precipitation", MONTH),
+    RollingDays("avg_temperature_in_7_days", "avg", "avg_temperature", WEEK),
+    RollingDays("avg_temperature_in_30_days", "avg", "avg_temperature", MONTH),
+]
 _AGGREGATES = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum}
 
 
@@ -37,6 +44,12 @@ def with_rolling(daily: DataFrame) -> DataFrame:
     return rolling_rows(flagged, ["city", "state"], "event_date", ties, ROLLING)
 
 
+def with_calendar_rolling(daily: DataFrame) -> DataFrame:
+    """The same measures over the last 7 and 30 calendar days: a city's missing days make a frame hold fewer rows."""
+    flagged = daily.withColumn("is_dry_day", risk.is_dry_day(F.col("total_precipitation")))
+    return rolling_days(flagged, ["city", "state"], "event_date", CALENDAR)
+
+
 def with_risk_flags(rolled: DataFrame, limits: Thresholds | None = None) -> DataFrame:
     limits = limits or Thresholds()
     return rolled.withColumns(

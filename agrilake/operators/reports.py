@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrilake.functions import labels, risk
@@ -88,7 +88,7 @@ def filter_readings(
     levels: Sequence[str] | None = None,
     day: str = "full_date",
 ) -> DataFrame:
-    """Interactive selection; None selects everything. Date bounds also prune year partitions when present."""
+    """Interactive selection; None selects everything. Date bounds also prune year and month partitions when present."""
     picked = readings
     if start is not None:
         picked = picked.where(F.col(day) >= F.lit(start))
@@ -99,6 +99,12 @@ def filter_readings(
             picked = picked.where(F.col("year") >= start.year)
         if end is not None:
             picked = picked.where(F.col("year") <= end.year)
+    if {"year", "month"} <= set(readings.columns):
+        month = F.col("year") * 100 + F.col("month")
+        if start is not None:
+            picked = picked.where(month >= start.year * 100 + start.month)
+        if end is not None:
+            picked = picked.where(month <= end.year * 100 + end.month)
     for name, values in (("state", states), ("city", cities), ("risk_level", levels)):
         if values is not None:
             picked = picked.where(F.col(name).isin(*values))
@@ -432,28 +438,23 @@ def climate_crop_score(exposed: DataFrame, k: int | None = 12) -> DataFrame:
             F.avg("chuva_total").alias("chuva_total"),
         )
     )
-    # One struct-valued scalar subquery: the frame is aggregated once for all three scales.
-    scales = states.agg(
-        F.struct(
-            F.max("produced_quantity").alias("production"),
-            F.greatest(F.max("eventos_de_risco"), F.lit(1)).alias("events"),
-            F.min("temperatura_media").alias("coldest"),
-            (F.max("temperatura_media") - F.min("temperatura_media")).alias("spread"),
-        )
-    ).scalar()
-    scale = F.col("_scale")
-    warmth = F.when(scale["spread"] == 0, F.lit(0.0)).otherwise(
-        F.try_divide(F.col("temperatura_media") - scale["coldest"], scale["spread"])
-    )
-    weighted = states.withColumn("_scale", scales).withColumns(
+    # At most one row per known territory code and name here, so a window over all of them is bounded; a scalar
+    # subquery would compute crops and climate a second time.
+    everywhere = Window.partitionBy(F.lit(0))
+    coldest = F.min("temperatura_media").over(everywhere)
+    spread = F.max("temperatura_media").over(everywhere) - coldest
+    events = F.greatest(F.max("eventos_de_risco").over(everywhere), F.lit(1))
+    weighted = states.withColumns(
         {
-            "production_weight": F.try_divide("produced_quantity", scale["production"]),
-            "temperature_weight": warmth,
-            "risk_weight": F.col("eventos_de_risco") / scale["events"],
+            "production_weight": F.try_divide("produced_quantity", F.max("produced_quantity").over(everywhere)),
+            "temperature_weight": F.when(spread == 0, F.lit(0.0)).otherwise(
+                F.try_divide(F.col("temperatura_media") - coldest, spread)
+            ),
+            "risk_weight": F.col("eventos_de_risco") / events,
         }
     )
     score = 100 * (
         0.5 * F.col("production_weight") + 0.3 * F.col("risk_weight") + 0.2 * F.col("temperature_weight")
     )
-    scored = weighted.withColumn("score", F.bround(score, 1)).drop("_scale")
+    scored = weighted.withColumn("score", F.bround(score, 1))
     return _top(scored, "score", ["state", "territory_name"], k)

@@ -1,4 +1,4 @@
-"""Row-frame rolling aggregates that never put an unbounded group into one task."""
+"""Rolling aggregates, by rows or by days, that never put an unbounded group into one task."""
 
 from __future__ import annotations
 
@@ -54,3 +54,37 @@ def rolling_rows(
         for m in measures
     }
     return second_pass.select(*[F.col(c) for c in df.columns], *[c.alias(name) for name, c in settled.items()])
+
+
+@dataclass(frozen=True)
+class RollingDays:
+    """``aggregate`` ('sum' or 'avg') of ``source`` over the rows of the current day and the ``days - 1`` before it."""
+
+    name: str
+    aggregate: str
+    source: str
+    days: int
+
+
+def rolling_days(df: DataFrame, group: list[str], day: str, measures: list[RollingDays]) -> DataFrame:
+    """Add ``measures`` over calendar days: a day without rows counts as a day, unlike in ``rolling_rows``.
+
+    Rows of one day share their frame, so a range frame is a frame over daily sums and counts. These are aggregated
+    before any shuffle, and the window over them sees one row per group and calendar day, whatever the group's size.
+    Rows without a day have a frame of their own, made of each other.
+    """
+    sources = list(dict.fromkeys(m.source for m in measures))
+    partial = [f(source).alias(f"_{kind}_{source}") for source in sources for kind, f in (("sum", F.sum), ("n", F.count))]
+    daily = df.groupBy(*group, day).agg(*partial)
+    by_day = Window.partitionBy(*group).orderBy("_number")
+
+    def value(m: RollingDays) -> Column:
+        frame = by_day.rangeBetween(1 - m.days, 0)
+        total = F.sum(f"_sum_{m.source}").over(frame)
+        return total if m.aggregate == "sum" else F.try_divide(total, F.sum(f"_n_{m.source}").over(frame))
+
+    numbered = daily.withColumn("_number", F.unix_date(F.col(day)))
+    rolled = numbered.select(*group, day, *[value(m).alias(m.name) for m in measures]).alias("rolled")
+    rows = df.alias("rows")
+    same = [F.col(f"rows.{c}").eqNullSafe(F.col(f"rolled.{c}")) for c in (*group, day)]
+    return rows.join(rolled, same).select("rows.*", *[f"rolled.{m.name}" for m in measures])

@@ -251,6 +251,27 @@ _add(
        {_mean('avg_temperature_7d')} AS avg_temperature_7d, {_mean('avg_temperature_30d')} AS avg_temperature_30d
 FROM gold""",
 )
+_add(
+    "rolling_calendar",
+    GOLD
+    + """,
+calendar AS (
+  SELECT event_date, city, state, precipitation_accumulated_30d,
+         CAST(SUM(is_dry_day) OVER d7 AS BIGINT) AS dry_days_in_7_days,
+         SUM(total_precipitation) OVER d7 AS precipitation_in_7_days,
+         SUM(total_precipitation) OVER d30 AS precipitation_in_30_days,
+         AVG(avg_temperature) OVER d7 AS avg_temperature_in_7_days,
+         AVG(avg_temperature) OVER d30 AS avg_temperature_in_30_days
+  FROM gold
+  WINDOW d7 AS (PARTITION BY city, state ORDER BY event_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW),
+         d30 AS (PARTITION BY city, state ORDER BY event_date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)
+)""",
+    f"""SELECT {_DAY}, city, state, dry_days_in_7_days, precipitation_in_7_days, precipitation_in_30_days,
+       {_mean('avg_temperature_in_7_days')} AS avg_temperature_in_7_days,
+       {_mean('avg_temperature_in_30_days')} AS avg_temperature_in_30_days,
+       precipitation_accumulated_30d <> precipitation_in_30_days AS differs_from_rows
+FROM calendar""",
+)
 _add(
     "risk_flags",
     GOLD,

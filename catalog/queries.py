@@ -55,6 +55,15 @@ def rolling_metrics(spark, sf):
     return fx.compared(rolled.select(*kept), "avg_temperature_7d", "avg_temperature_30d")
 
 
+@query
+def rolling_calendar(spark, sf):
+    """Frames of calendar days, and where they hold fewer rows than the frames of rows do."""
+    rolled = gold.with_calendar_rolling(gold.with_rolling(gold.daily_weather(fx.obs(spark, sf))))
+    gap = F.col("precipitation_accumulated_30d") != F.col("precipitation_in_30_days")
+    kept = rolled.select("event_date", "city", "state", *[m.name for m in gold.CALENDAR], gap.alias("differs_from_rows"))
+    return fx.compared(kept, "avg_temperature_in_7_days", "avg_temperature_in_30_days")
+
+
 @query
 def risk_flags(spark, sf):
     flags = ["thermal_amplitude", "drought_risk", "heat_risk", "heavy_rain_risk", "year", "month"]

@@ -53,6 +53,19 @@ def test_date_filter_prunes_year_directories(spark, readings, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan and picked.count() == 0
 
 
+def test_a_range_of_days_reads_its_months_only(spark, tmp_path):
+    days = spark.sql("SELECT explode(sequence(DATE'2025-11-01', DATE'2026-03-31')) AS full_date")
+    dated = days.withColumns({"year": F.year("full_date"), "month": F.month("full_date")})
+    dated.write.partitionBy("year", "month").parquet(str(tmp_path / "gold"))
+    for other in ("year=2025/month=11", "year=2026/month=2", "year=2026/month=3"):
+        for file in (tmp_path / "gold" / other).glob("*.parquet"):
+            file.write_text("whoever opens this fails")
+    gold = spark.read.schema(dated.schema).parquet(str(tmp_path / "gold"))
+    assert reports.filter_readings(gold, dt.date(2025, 12, 25), dt.date(2026, 1, 7)).count() == 14
+    with pytest.raises(Exception):
+        reports.filter_readings(gold, dt.date(2025, 12, 25), dt.date(2026, 2, 7)).count()
+
+
 def test_dry_days_ignore_missing_rain(readings):
     assert {r["city"]: r["dry_days"] for r in reports.dry_days(readings).collect()} == {"A": 2, "B": 0}
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agrilake.config import Thresholds
 from agrilake.operators import gold, silver
-from agrilake.operators.rolling import Rolling, rolling_rows
+from agrilake.operators.rolling import Rolling, RollingDays, rolling_days, rolling_rows
 
 BRONZE = (
     "timestamp string, city string, state string, region string, latitude double, longitude double, "
@@ -166,3 +166,33 @@ def test_two_sources_share_a_city_frame_in_a_fixed_order(spark):
     out = gold.weather_gold(spark.createDataFrame(rows, HOURS)).collect()
     sums = {(r["event_date"].day, r["source"]): r["precipitation_accumulated_7d"] for r in out}
     assert sums == {(1, "a"): 2.0, (1, "b"): 3.0, (2, "a"): 7.0}
+
+
+def test_calendar_frames_equal_brute_force(spark):
+    """Gaps, several rows a day, missing values, null cities and days."""
+    start = dt.date(2026, 1, 1)
+    days = [0, 1, 1, 1, 4, 9, 10, 36, 39, None, None]
+    rows = [
+        (None if d is None else start + dt.timedelta(days=d), city, None if i % 4 == 3 else float(i))
+        for city in ("A", "B", None)
+        for i, d in enumerate(days)
+        if city != "B" or i % 2
+    ]
+    df = spark.createDataFrame(rows, "day date, city string, v double")
+    measures = [RollingDays("total", "sum", "v", 7), RollingDays("mean", "avg", "v", 30)]
+    found = rolling_days(df, ["city"], "day", measures).collect()
+
+    def frame(city, day, reach):
+        same = [(d, v) for d, c, v in rows if c == city and v is not None]
+        if day is None:
+            return [v for d, v in same if d is None]
+        return [v for d, v in same if d is not None and 0 <= (day - d).days < reach]
+
+    expected = []
+    for day, city, v in rows:
+        week, month = frame(city, day, 7), frame(city, day, 30)
+        expected.append((day, city, v, sum(week) if week else None, sum(month) / len(month) if month else None))
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
+    # frames of rows reach over the gaps
+    by_rows = rolling_rows(df.where("city = 'A' AND day IS NOT NULL"), ["city"], "day", ["v"], [Rolling("total", "sum", "v", 7)])
+    assert by_rows.where("total <> 0").count() and {r["total"] for r in by_rows.collect()} != {r["total"] for r in found if r["city"] == "A"}
