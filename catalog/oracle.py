@@ -550,7 +550,8 @@ _add(
     "fact_upsert",
     FACT,
     f"""SELECT {_WEATHER_FACT_ID}, * EXCLUDE ({_NO_FACT_COLUMNS}) REPLACE (
-  CASE WHEN event_date >= DATE '2024-01-15' THEN avg_temperature + 1 ELSE avg_temperature END AS avg_temperature,
+  CASE WHEN event_date >= DATE '2024-01-15' THEN CAST(CAST(avg_temperature AS DECIMAL(6, 2)) + 1 AS DOUBLE)
+       ELSE avg_temperature END AS avg_temperature,
   CASE WHEN event_date < DATE '2024-01-15' THEN avg_humidity END AS avg_humidity),
   CASE WHEN event_date <= DATE '2024-01-20' THEN '2024-02-01 00:00:00' ELSE '2024-02-02 00:00:00' END AS loaded_at
 FROM keyed""",
