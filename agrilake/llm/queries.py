@@ -80,7 +80,8 @@ def op6_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return swap_packing.pack_documents(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+    docs = _table(spark, sf_dir, "documents")
+    return swap_packing.pack_documents(docs, _vocabulary("byte_bpe_50k.json"), remembered=192 << 20)
 
 
 def op8_adaptive_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrilake.llm.scratch import stored
-from agrilake.llm.tokens import as_ids, encoder_of
+from agrilake.llm.tokens import REMEMBERED, as_ids, encoder_of
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Pieces packed together in the first round and, about, in the second.
@@ -162,11 +162,13 @@ def packed(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return bin_of, offset
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    """Every document's ids, end id last, as pieces of at most `capacity` ids."""
+def pieces(
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, remembered: int = REMEMBERED
+) -> DataFrame:
+    """Every document's ids, end id last, as pieces of at most `capacity` ids; a worker remembers words in `remembered` bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer, joined=True)
+        encoder = encoder_of(tokenizer, joined=True, remembered=remembered)
         end = np.array([end_id], "<u4")
         for batch in batches:
             rows: list[tuple] = []
@@ -226,5 +228,7 @@ def _numbered(rows: pd.DataFrame, base: int, capacity: int) -> pd.DataFrame:
     return rows.assign(sequence_id=base + bin_of, offset=offset, fill=np.bincount(bin_of, lengths).astype(np.int64)[bin_of])
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    return pack(pieces(docs, tokenizer, capacity, end_id), capacity)
+def pack_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, remembered: int = REMEMBERED
+) -> DataFrame:
+    return pack(pieces(docs, tokenizer, capacity, end_id, remembered), capacity)

@@ -31,9 +31,9 @@ class Memory:
         self.old: dict[str, bytes] = {}
         self.size = 0
 
-    def missing(self, parts: set[str]) -> set[str]:
-        """Those of `parts` that aren't remembered; all others are in `young` until the next call."""
-        if self.size > self.half:
+    def missing(self, parts: set[str], more: bool = False) -> set[str]:
+        """Those of `parts` that aren't remembered; all others are in `young` until the next call without `more`."""
+        if self.size > self.half and not more:
             self.old, self.young, self.size = self.young, {}, 0
         new = parts.difference(self.young)  # looks each part up, whereas a keys view would be walked whole
         old = self.old
@@ -50,6 +50,10 @@ class Memory:
 #: Pre-tokens of the word vocabulary, for lower-case texts of ASCII and Latin-1 letters; taken from the tokenizer file.
 PLAIN = re.compile(r"[\x00-\x7Eß-öø-ÿ]*\Z")
 PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t-\r]+")
+#: A word with marks at its end, and after a line end perhaps a second one: pre-tokens of the byte-level vocabulary, whatever
+#: follows. Its ids are those of its words and marks in a row.
+MARKS = frozenset(".,;:!?")
+ENDED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*))?\Z")
 
 
 class WordEncoder:
@@ -58,7 +62,7 @@ class WordEncoder:
     `joined`: a space belongs to the word after it (byte-level BPE); otherwise spaces are dropped.
     """
 
-    def __init__(self, path: str, joined: bool):
+    def __init__(self, path: str, joined: bool, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -68,11 +72,12 @@ class WordEncoder:
             raise ValueError("ids above 65535 don't fit")
         self.before = " " if joined else ""
         self.joined = joined
-        self.known = Memory()
+        self.known = Memory(remembered)
         if joined:  # ids whose text begins with a space, as the first id of every part does and no other
             space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
             self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.opens[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(space)]] = True
+            self.line = self._whole(["\n"])[0]
         else:  # pre-tokens go without normalizer and pattern, each ends with an id of its own kind
             from tokenizers import Tokenizer
             from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
@@ -120,15 +125,48 @@ class WordEncoder:
         return [np.array(x.ids, "<u2").tobytes() for x in found]
 
     def _learn(self, parts: set[str]) -> dict[str, bytes]:
-        """Ids of the parts that aren't remembered; short ones are from now on."""
-        new = list(self.known.missing(parts))
+        """Remembers all short parts; ids of the long ones."""
+        new = self.known.missing(parts)
+        ended: dict[str, tuple[str, ...]] = {}
+        if self.joined:
+            marked = [p for p in new if p[-1:] in MARKS or "\n" in p]
+            ended = {p: found.groups("") for p, found in zip(marked, map(ENDED.match, marked), strict=True) if found}
+        coded = self._coded(list(new.difference(ended)))
+        if ended:
+            words, *others = map(set, zip(*ended.values(), strict=True))
+            coded |= self._coded(list(self.known.missing(words.difference(coded), more=True)))
+            # what has no space before it is remembered with one, as no part of a text has
+            unknown = list(self.known.missing({" " + x for x in set().union(*others) if x}, more=True))
+            coded.update(zip(unknown, self._bare([x[1:] for x in unknown]), strict=True))
+            young = self.known.young
+            for part, (word, marks, second, last) in ended.items():
+                out = coded.get(word) or young[word]
+                for x in (marks, second, last):
+                    if x:
+                        out += (self.line if x == second else b"") + (coded.get(" " + x) or young[" " + x])
+                coded[part] = out
+        long = {p: coded.pop(p) for p in [p for p in coded if len(p) > LONGEST]}
+        self.known.add(coded)
+        return long
+
+    def _coded(self, parts: list[str]) -> dict[str, bytes]:
         coded: dict[str, bytes] = {}
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
+        for i in range(0, len(parts), 4096):
+            some = parts[i : i + 4096]
             coded.update(zip(some, self._parts(some), strict=True))
-        self.known.add({p: ids for p, ids in coded.items() if len(p) <= LONGEST})
         return coded
 
+    def _bare(self, words: list[str]) -> list[bytes]:
+        """Ids of words or marks without a space before them: each is a line of one text."""
+        if not words:
+            return []
+        packed = self._whole(["".join(["\n" + w for w in words])])[0]
+        ids = np.frombuffer(packed, "<u2")
+        first = 2 * np.flatnonzero(ids == np.frombuffer(self.line, "<u2")[0])
+        if len(first) != len(words) or first[0]:
+            return self._whole(words)
+        return [packed[a + 2 : b] for a, b in zip(first.tolist(), [*first[1:].tolist(), len(packed)], strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         # a run of spaces is cut by its length, so such texts go whole
@@ -139,18 +177,21 @@ class WordEncoder:
         heads = [b""] * len(cut)
         if self.joined and cut:  # the first part has no space before it
             heads = self._whole([parts.pop(0) for parts in cut.values()])
-        coded = self._learn({p for parts in cut.values() for p in parts})
+        long = self._learn(set().union(*cut.values()))
         known = self.known.young
         for head, (i, parts) in zip(heads, cut.items(), strict=True):
-            out[i] = head + b"".join([known[p] if p in known else coded[p] for p in parts])
+            if long and not long.keys().isdisjoint(parts):
+                out[i] = head + b"".join([long[p] if p in long else known[p] for p in parts])
+            else:
+                out[i] = head + b"".join(map(known.__getitem__, parts))
         return out
 
 
 @lru_cache(maxsize=1)
-def encoder_of(path: str, joined: bool) -> WordEncoder:
-    """The worker's encoder: its later tasks go on with what it remembers."""
+def encoder_of(path: str, joined: bool, remembered: int = REMEMBERED) -> WordEncoder:
+    """The worker's encoder: its later tasks go on with what it remembers, `remembered` bytes at most."""
     release_memory()
-    return WordEncoder(path, joined)
+    return WordEncoder(path, joined, remembered)
 
 
 def forget_encoder() -> None:
