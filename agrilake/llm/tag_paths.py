@@ -2,9 +2,16 @@
 
 Every text node belongs to the path of tags from the root to it. Per page and path, the characters and the punctuation
 of all its nodes are divided by their number; the two ratios are smoothed over the page's order of nodes with a
-Gaussian window, fused by multiplication and cut at a share of their spread. The nodes above the cut choose the
-content element: the deepest element that holds most of their characters. What lies in it and is no page furniture
-(menus, adverts, forms, comments, ...) is the text; so a short paragraph inside an article stays.
+Gaussian window, fused by multiplication and cut at a share of their mean or spread. An `article` or `main` is only a prior: where a
+page has one, nodes outside it have a tenth of their score. Furniture (menus, adverts, forms, comments, ... by tag, class, id or
+role) has no score at all.
+
+A block with a node above the cut is content wherever it stands. Blocks below the cut join by what they share with content:
+
+- in the content element, which is the outermost article or main, else the deepest element with half of the chosen characters:
+  headings, paragraphs, list items, cells and the like; other blocks, and those that are nothing but links, if they end as
+  sentences do. So unnamed buttons, teasers and lists of links inside an article are cut;
+- outside it, on the same side of an article's border: headings right before content, and sentences next to a chosen block.
 
 Cases: null or empty html, and pages without text, give an empty text; text outside any tag belongs to the root path;
 unclosed and stray tags are tolerated; pages of any length and depth are parsed whole, in time linear in both; ties between
@@ -43,24 +50,33 @@ SIBLINGS = {
 }
 #: Words in class, id or role that name furniture.
 NAMED = re.compile(
-    r"(?:^|[-_ ])(?:ads?|adverts?|advertisements?|advertising|banner|sponsor(?:ed)?|promo(?:tion)?s?|navs?|navbar"
+    r"(?:^|[-_ ])(?:ads?|advert[a-z]*|banner|sponsor(?:ed)?|promo(?:tion)?s?|navs?|navbar"
     r"|navigation|menus?|menubar|breadcrumbs?|sidebars?|side|aside|foot|footers?|heads?|headers?|masthead|topbar"
-    r"|comments?|replies|reply|respond|discussion|disqus|share|sharing|social|related|recommended|newsletter"
+    r"|comment(?!ar)[a-z]*|replies|reply|respond|discussion|disqus|share|sharing|social|related|recommended|newsletter"
     r"|subscribe|signup|login|cookies?|consent|gdpr|notices?|popup|modal|overlay|search|toolbar|pagination|pager"
     r"|skip|copyright|legal|complementary|contentinfo|alert|widgets?)(?:$|[-_ 0-9])"
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks whose text is content in the content element even where their path has little of it.
+PROSE = HEADINGS | frozenset("p li dt dd td th caption figcaption blockquote pre summary article main".split())
+#: How a sentence ends, quotes and brackets closed.
+SENTENCE = re.compile("[.!?…。！？:;][\"'”’»)\\]]*$")
+#: Share of their score that nodes outside an article keep on pages that have one.
+OUTSIDE = 0.1
 WHITE = re.compile(r"\s+")
 PUNCTUATION = re.compile(r"[.,;:!?¡¿…。、，！？]")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "depth", "furniture", "path", "article", "scored")
+    __slots__ = ("tag", "parent", "depth", "furniture", "path", "article", "block", "link", "scored")
 
     def __init__(self, tag: str, parent: _Element | None, furniture: bool, article: bool, path: int):
         self.tag, self.parent, self.path = tag, parent, path
         self.depth = parent.depth + 1 if parent else 0
         self.furniture = furniture or bool(parent and parent.furniture)
         self.article = article or bool(parent and parent.article)
+        self.block: _Element = self if tag in BLOCK or not parent else parent.block
+        self.link = tag == "a" or bool(parent and parent.link)
         self.scored = 0
 
 
@@ -92,9 +108,11 @@ class _Pages(HTMLParser):
         named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role")).lower()
         hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
         article = tag in ("article", "main") and not hidden
-        # a header or footer of the article belongs to it; those of the page, and named furniture, don't
-        furniture = tag in SILENT or tag in FURNITURE or hidden
-        furniture = furniture or not article and tag not in ("html", "body") and bool(named and NAMED.search(named))
+        # an article's header belongs to it; other headers, footers and named furniture, an article of a comment among it, don't
+        inner = self.here.article
+        own = tag in ("html", "body") or (tag == "header" and inner) or (article and not inner)
+        furniture = hidden or tag in SILENT or (tag in FURNITURE and not own)
+        furniture = furniture or not own and bool(named and NAMED.search(named))
         path = self.paths.setdefault((self.here.path, tag), len(self.paths) + 1)
         self.here = _Element(tag, self.here, furniture, article, path)
         self.elements.append(self.here)
@@ -160,63 +178,100 @@ def path_scores(nodes: list[tuple[int, str]], sigma: float = 1.0, radius: int =
 
 
 def main_text(html: str | None, share: float = 0.5) -> str:
-    """Text of the content element; `share` of the scores' standard deviation is the cut."""
+    """Text of the content blocks; `share` of the scores' mean or standard deviation, the larger, is the cut."""
     if not html:
         return ""
     parser = _Pages()
     parser.feed(html)
     parser.close()
-    kept = [x for x in parser.nodes if x is None or not x[0].furniture]
-    texts = [(e, WHITE.sub(" ", t).strip()) for e, t in (x for x in kept if x)]
-    texts = [(e, t) for e, t in texts if t]
-    if not texts:
+    blocks = _blocks(parser.nodes)
+    if not blocks:
         return ""
-    if any(e.article for e, _ in texts):  # the page says where its article is
-        texts = [(e, t) for e, t in texts if e.article]
-    scores = path_scores([(e.path, t) for e, t in texts])
+    nodes = [(e, t) for block in blocks for e, t in block.nodes]
+    scores = path_scores([(e.path, t) for e, t in nodes])
+    if any(e.article for e, _ in nodes):
+        scores = [s if e.article else OUTSIDE * s for s, (e, _) in zip(scores, nodes, strict=True)]
     mean = sum(scores) / len(scores)
-    cut = share * (sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5
-    chosen = [(e, len(t)) for (e, t), s in zip(texts, scores, strict=True) if s >= cut] or [(e, len(t)) for e, t in texts]
-    total = sum(n for _, n in chosen)
-    for element, n in chosen:
-        element.scored += n
-    for element in reversed(parser.elements):
+    # the spread tells content from many menu entries; where nearly all is content, there is little spread
+    cut = share * max(mean, (sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5)
+    at = 0
+    for block in blocks:
+        block.chosen = max(scores[at : at + len(block.nodes)]) >= cut
+        at += len(block.nodes)
+    inside = _inside(_content(parser.elements, blocks))
+    kept = [b.chosen or b.prose and inside(b.element) for b in blocks]
+    for i in range(len(blocks) - 1, -1, -1):  # backwards, so that a heading before a kept heading stays
+        block = blocks[i]
+        near = [j for j in (i - 1, i + 1) if 0 <= j < len(blocks) and blocks[j].element.article == block.element.article]
+        kept[i] = (
+            kept[i]
+            or (block.element.tag in HEADINGS and i + 1 in near and kept[i + 1])
+            or (block.sentence and any(blocks[j].chosen for j in near))
+        )
+    return "\n\n".join(b.text for b, k in zip(blocks, kept, strict=True) if k)
+
+
+class _Block:
+    """A run of text without a break: its nodes that aren't blank, and the block element it stands in."""
+
+    __slots__ = ("nodes", "text", "element", "sentence", "prose", "chosen")
+
+    def __init__(self, nodes: list[tuple[_Element, str]], text: str):
+        self.nodes, self.text = nodes, text
+        self.element = nodes[0][0].block
+        self.sentence = bool(SENTENCE.search(text))
+        self.prose = self.sentence or self.element.tag in PROSE and not all(e.link for e, _ in nodes)
+        self.chosen = False
+
+
+def _blocks(nodes: list[tuple[_Element, str] | None]) -> list[_Block]:
+    blocks: list[_Block] = []
+    run: list[tuple[_Element, str]] = []
+    for node in [*nodes, None]:
+        if node is None:
+            clean = [(e, t) for e, raw in run if (t := WHITE.sub(" ", raw).strip())]
+            if clean:
+                blocks.append(_Block(clean, WHITE.sub(" ", "".join([t for _, t in run])).strip()))
+            run = []
+        elif not node[0].furniture:
+            run.append(node)
+    return blocks
+
+
+def _content(elements: list[_Element], blocks: list[_Block]) -> _Element:
+    """The deepest element with half of the chosen characters, or the outermost article around it; ties go to the first."""
+    total = 0
+    for block in blocks:
+        if block.chosen:
+            block.element.scored += len(block.text)
+            total += len(block.text)
+    for element in reversed(elements):
         if element.parent:
             element.parent.scored += element.scored
-    content = max((e for e in parser.elements if e.scored * 10 >= total * 9), key=lambda e: (e.depth, e.scored))
-    if content.tag not in BLOCK or content.tag == "p":  # one paragraph is most of the text: its neighbours belong to it
-        while content.parent and (content.tag not in BLOCK or content.tag in ("p", "pre")):
-            content = content.parent
-    # sibling articles of one page are content alike
-    if content.article:
-        while content.parent and content.parent.article:
-            content = content.parent
-    return _joined(kept, content)
+    content = max((e for e in elements if 2 * e.scored >= total), key=lambda e: e.depth)
+    # one paragraph may be half of the text: its neighbours belong to it
+    while content.parent and (content.tag not in BLOCK or content.tag in PROSE and not content.article):
+        content = content.parent
+    while content.article and content.parent and content.parent.article:
+        content = content.parent
+    return content
 
 
-def _joined(nodes: list[tuple[_Element, str] | None], content: _Element) -> str:
-    inside: dict[int, bool] = {id(content): True}
+def _inside(content: _Element):
+    """A test whether an element lies in `content`, in time linear in all elements it is asked for."""
+    known: dict[int, bool] = {id(content): True}
 
     def belongs(element: _Element | None) -> bool:
         trail = []
-        while element and id(element) not in inside:
+        while element and id(element) not in known:
             trail.append(element)
             element = element.parent
-        found = bool(element and inside[id(element)])
+        found = bool(element and known[id(element)])
         for x in trail:
-            inside[id(x)] = found
+            known[id(x)] = found
         return found
 
-    blocks: list[str] = []
-    run: list[str] = []
-    for node in [*nodes, None]:
-        if node is None:
-            if text := WHITE.sub(" ", "".join(run)).strip():
-                blocks.append(text)
-            run = []
-        elif belongs(node[0]):
-            run.append(node[1])
-    return "\n\n".join(blocks)
+    return belongs
 
 
 def extract(pages: DataFrame) -> DataFrame:
