@@ -9,7 +9,8 @@ asks for, the postings of the prefix against the candidates they may lead to; a
 2. Shingles that only one class has come first in the order. A class with fewer than ceil(3n/4) others has nothing but
    them in its prefix, and links with nothing. To find these, map tasks send their shingles, packed, to buckets; a shingle
    that several classes of one batch share goes there once, so a common passage costs a record per batch. Buckets answer
-   with numbers per text, and only the classes that are left get postings.
+   with the owners of shared shingles. Where there are copies, the classes that are left go through it once more, one row
+   each, as a copy in another batch makes a class seem to share all it has. Only those then left get postings.
 3. Candidates come from the prefix's lists. A list's members are first compared with a pivot, another one each round,
    which joins groups of near copies with one pair per member; lists all of whose members are joined are done. Pairs of
    members that are still apart are then compared throughout, if they share enough. So no link between groups is lost,
@@ -38,6 +39,7 @@ from agrilake.llm.tokens import forget_encoder
 SIZE = 5
 MOST = 4  # largest m
 BATCH = 2000  # texts of a batch, fewer than 65535
+STEP = 500  # texts that are read at a time
 PER_BUCKET = 1_000_000  # shingles of a bucket, about
 GROUP = 1 << 18  # bytes of text whose shingles are made at a time
 PIVOTS = 8  # rounds with pivots at most, before all pairs that are left
@@ -141,76 +143,122 @@ def described(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, sig binary")
 
 
-def sharing_classes(docs: DataFrame, buckets: int) -> DataFrame:
-    """sig of the classes that have enough shingles which other classes have as well."""
-    names = ["kind", "bucket", "batch", "sigs", "data"]
+def key_bits(total: int) -> int:
+    """Bits of a shingle's key among `total` shingles: fewer than one in 256 has the key of another by chance."""
+    return min(48, max(32, int(total).bit_length() + 8))
+
+
+def packed(records: np.ndarray) -> bytes:
+    """Sorted records, a key over 16 bits of owner: gaps between keys and owners by bytes, those that are mostly zero compressed."""
+    gaps = np.diff(records >> np.uint64(16), prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+    owners = (records & np.uint64(_NOBODY)).astype("<u2").view(np.uint8).reshape(-1, 2)
+    full = gaps[:, 0].tobytes() + gaps[:, 1].tobytes() + owners[:, 0].tobytes()
+    return full + pa.compress(gaps[:, 2:6].T.tobytes() + owners[:, 1].tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and owners of n packed records."""
+    rest = np.frombuffer(pa.decompress(data[3 * n :], decompressed_size=5 * n, codec="zstd", asbytes=True), np.uint8).reshape(5, n)
+    full = np.frombuffer(data, np.uint8, 3 * n).reshape(3, n)
+    gaps = np.zeros((n, 8), np.uint8)
+    gaps[:, :2], gaps[:, 2:6] = full[:2].T, rest[:4].T
+    owners = np.stack([full[2], rest[4]], axis=1)
+    return np.cumsum(gaps.view("<u8").ravel(), dtype=np.uint64), owners.view("<u2").ravel()
+
+
+def sent_shingles(sets: DataFrame, total: int) -> DataFrame:
+    """What map tasks send to the buckets: for each batch a row of kind 1, its classes, and rows of kind 0, packed records."""
+    buckets, bits = max(16, -(-total // PER_BUCKET)), np.uint64(64 - key_bits(total))
+    # a bucket is a range of keys, so that a batch's sorted records fall into one piece for each
+    edges = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64) >> bits << np.uint64(16)
+    names = ["kind", "bucket", "batch", "n", "sigs", "data"]
+    column = "text" if "text" in sets.columns else "hashes"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            if column == "text":
+                yield from shingle_sets(batch.column(0).to_pylist())
+            else:
+                for own in batch.column(0):
+                    yield own.values.to_numpy(zero_copy_only=False).view(np.uint64)
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[bytes, np.ndarray]]:
+        """Classes of BATCH texts at a time, however few rows come at once."""
+        found: dict[bytes, np.ndarray] = {}
+        parts = (b.slice(i, STEP) for b in batches for i in range(0, b.num_rows, STEP))
+        for number, own in enumerate(read(parts), 1):
+            if len(own):
+                found.setdefault(signature(own), own)
+            if number % BATCH == 0 and found:
+                yield found
+                found = {}
+        if found:
+            yield found
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoder()
         number = TaskContext.get().partitionId() << 24
-        for whole in batches:
-            for i in range(0, whole.num_rows, BATCH):
-                found: dict[bytes, np.ndarray] = {}
-                for own in shingle_sets(whole.slice(i, BATCH).column("text").to_pylist()):
-                    if len(own):
-                        found.setdefault(signature(own), own)
-                if not found:
-                    continue
-                number += 1
-                sizes = np.array([len(s) for s in found.values()], np.uint32)
-                owner = np.repeat(np.arange(len(found)), sizes)
-                # the upper 48 bits sort first: a shingle's records stand together
-                records = (np.concatenate(list(found.values())) & ~np.uint64(_NOBODY)) | owner.astype(np.uint64)
-                records.sort()
-                keys = records >> np.uint64(16)
-                same = np.concatenate([[False], keys[1:] == keys[:-1]])
-                first = ~same & np.concatenate([same[1:], [False]])
-                shared = same | first
-                local = np.bincount((records[shared] & np.uint64(_NOBODY)).astype(np.int64), minlength=len(found)).astype(np.uint32)
-                sent = np.concatenate([records[~shared], records[first] | np.uint64(_NOBODY)])
-                to = ((sent >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
-                sent = sent[np.argsort(to, kind="stable")]
-                cuts = np.cumsum(np.bincount(to, minlength=buckets))[:-1]
-                sigs = b"".join(found)
-                short = b"".join(s[:8] for s in found)
-                rows = [(1, number % buckets, number, sigs, sizes.tobytes() + local.tobytes())]
-                rows += [(0, b, number, short, part.tobytes()) for b, part in enumerate(np.split(sent, cuts)) if len(part)]
-                types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+        for found in together(batches):
+            number += 1
+            sizes = np.array([len(s) for s in found.values()], np.uint32)
+            owner = np.repeat(np.arange(len(found), dtype=np.uint64), sizes)
+            # the key sorts first: a shingle's records stand together
+            records = np.concatenate(list(found.values())) >> bits << np.uint64(16) | owner
+            records.sort()
+            keys = records >> np.uint64(16)
+            same = np.concatenate([[False], keys[1:] == keys[:-1]])
+            first = ~same & np.concatenate([same[1:], [False]])
+            shared = same | first
+            local = np.bincount((records[shared] & np.uint64(_NOBODY)).astype(np.int64), minlength=len(found)).astype(np.uint32)
+            records[first] |= np.uint64(_NOBODY)
+            records = records[~same]
+            rows = [(1, number % buckets, number, 0, b"".join(found), sizes.tobytes() + local.tobytes())]
+            for b, part in enumerate(np.split(records, np.searchsorted(records, edges))):
+                if len(part):
+                    rows.append((0, b, number, len(part), b"", packed(part)))
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+    some = sets.select(column).where((F.length if column == "text" else F.size)(column) > 0)
+    return some.mapInArrow(send, "kind int, bucket int, batch long, n int, sigs binary, data binary")
+
+
+def sharing_classes(sets: DataFrame, total: int) -> DataFrame:
+    """sig of the classes that have enough shingles which other classes have as well.
+
+    `sets` has a column `text` or `hashes`, `total` shingles in all. Rows of one class in different batches count as
+    classes of their own, as telling them apart would take a signature for each class, batch and bucket.
+    """
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
         passed, sent = rows[rows["kind"] == 1], rows[rows["kind"] == 0]
         out = [(1, b, s, d) for b, s, d in zip(passed["batch"], passed["sigs"], passed["data"], strict=True)]
         if len(sent):
-            parts = [np.frombuffer(d, np.uint64) for d in sent["data"]]
-            who = [np.append(np.frombuffer(s, np.uint64), np.uint64(0)) for s in sent["sigs"]]
-            row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-            records = np.concatenate(parts)
-            owner = np.concatenate([w[np.minimum(p & np.uint64(_NOBODY), np.uint64(len(w) - 1)).astype(np.int64)] for p, w in zip(parts, who, strict=True)])
-            keys = records >> np.uint64(16)
+            parts = [unpacked(d, n) for d, n in zip(sent["data"], sent["n"], strict=True)]
+            keys, owner = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(keys, kind="stable")
-            keys, owner = keys[order], owner[order]
+            keys = keys[order]
             start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            # shared: owners differ, or a batch says so by a record of nobody
-            nobody = (records[order] & np.uint64(_NOBODY)) == _NOBODY
-            shared = np.minimum.reduceat(owner, start) != np.maximum.reduceat(owner, start)
-            shared |= np.logical_or.reduceat(nobody, start)
-            hit = order[np.repeat(shared, np.diff(np.append(start, len(keys)))) & ~nobody]
-            at = (records[hit] & np.uint64(_NOBODY)).astype(np.int64)
-            for r in np.unique(row[hit]):
-                own = np.bincount(at[row[hit] == r], minlength=len(who[r]) - 1).astype(np.uint32)
-                out.append((0, sent["batch"].iloc[r], b"", own.tobytes()))
+            times = np.diff(np.append(start, len(keys)))
+            # shared: several batches have it, or a batch says so by a record of nobody
+            nobody = owner[order] == _NOBODY
+            shared = (times > 1) | np.logical_or.reduceat(nobody, start)
+            hit = np.sort(order[np.repeat(shared, times) & ~nobody])
+            cuts = np.searchsorted(hit, np.cumsum(sent["n"].to_numpy())[:-1])
+            for batch, own in zip(sent["batch"], np.split(owner[hit], cuts), strict=True):
+                if len(own):
+                    out.append((0, batch, b"", np.sort(own).tobytes()))
         return pd.DataFrame(out, columns=["kind", "batch", "sigs", "data"])
 
     def decide(rows: pd.DataFrame) -> pd.DataFrame:
         base = rows[rows["kind"] == 1].iloc[0]
         sizes, local = np.frombuffer(base["data"], np.uint32).reshape(2, -1).astype(np.int64)
-        for data in rows.loc[rows["kind"] == 0, "data"]:
-            local = local + np.frombuffer(data, np.uint32)
+        told = b"".join(rows.loc[rows["kind"] == 0, "data"])
+        local = local + np.bincount(np.frombuffer(told, "<u2"), minlength=len(sizes))
         sigs = np.frombuffer(base["sigs"], "V16")
         return pd.DataFrame({"sig": [bytes(sigs[i]) for i in np.flatnonzero(local >= _need(sizes))]}, columns=["sig"])
 
-    sent = docs.select("text").where(F.length("text") > 0).mapInArrow(send, "kind int, bucket int, batch long, sigs binary, data binary")
-    answers = sent.groupBy("bucket").applyInPandas(answer, "kind int, batch long, sigs binary, data binary")
+    answers = sent_shingles(sets, total).groupBy("bucket").applyInPandas(answer, "kind int, batch long, sigs binary, data binary")
     return answers.groupBy("batch").applyInPandas(decide, "sig binary").distinct()
 
 
@@ -231,7 +279,7 @@ def sets_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
     read = texts.select("rep", "text").mapInArrow(run, "sig binary, rep long, n long, hashes array<long>")
     # one row of a class: rows that repeat its representative are dropped
-    once = read.join(chosen.select("sig", "rep"), ["sig", "rep"], "left_semi")
+    once = read.join(_sized(chosen.select("sig", "rep")), ["sig", "rep"], "left_semi")
     found = stored(once.select(F.xxhash64("sig").alias("k"), "rep", "n", "hashes"), "shingle-sets")
     return found if found.count() == found.select("k").distinct().count() else stored(found.dropDuplicates(["k"]), "shingle-sets")
 
@@ -267,9 +315,12 @@ def _close(a: str, b: str):
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) whose similarity is 3/4 or more."""
+    pairs = stored(pairs.select("a", "b"), "set-pairs")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
+    sets = sets.join(_sized(asked), "k", "left_semi")
     left = sets.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    both = pairs.join(left, "a").join(right, "b")
     common = both.withColumn("common", F.size(F.array_intersect("ha", "hb")))
     return common.where(100 * F.col("common") >= 75 * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
@@ -303,11 +354,11 @@ def groups(sets: DataFrame) -> DataFrame:
     barren = 0
     for turn in range(PIVOTS + 1):
         # lists whose members aren't all joined yet
-        mixed = lists.join(labels, "k").groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
+        mixed = lists.join(_sized(labels), "k").groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
         lists = stored(lists.join(mixed.where("l0 <> l1").select("token"), "token", "left_semi"), "prefixes")
         if lists.isEmpty():
             break
-        marked = lists.join(labels, "k")
+        marked = lists.join(_sized(labels), "k")
         if turn == PIVOTS or barren == 2:
             return merged(labels, stored(verified(_all_apart(marked), sets), "set-links"))
         links = stored(verified(_with_pivots(marked, turn), sets), "set-links")
@@ -362,9 +413,13 @@ def link(docs: DataFrame) -> DataFrame:
     rows = stored(described(docs), "shingle-rows")
     classes = rows.where(F.col("sig").isNotNull() & F.col("doc_id").isNotNull())
     classes = stored(classes.groupBy("sig").agg(F.min("doc_id").alias("rep")), "shingle-classes")
-    total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    chosen = stored(classes.join(sharing_classes(docs, max(16, -(-total // PER_BUCKET))), "sig", "left_semi"), "sharing-classes")
+    total, described_rows = rows.agg(F.sum("n_shingles"), F.count("sig")).first()
+    chosen = stored(classes.join(sharing_classes(docs, total or 0), "sig", "left_semi"), "sharing-classes")
     sets = sets_of(docs, chosen)
+    if described_rows > classes.count():  # rows of one class may have passed for different ones; now each class is one row
+        total = sets.agg(F.sum("n")).first()[0] or 0
+        passed = stored(sharing_classes(sets, total).select(F.xxhash64("sig").alias("k")), "sharing-sets")
+        sets = sets.join(_sized(passed), "k", "left_semi")
     labels = groups(sets).join(sets.select("k", "rep"), "k")
     named = labels.groupBy("label").agg(F.min("rep").alias("component_id"))
     of_class = labels.join(named, "label").select("k", "component_id")

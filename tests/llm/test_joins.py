@@ -4,7 +4,9 @@ import hashlib
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from agrilake.llm import adaptive_join, phrase_index
 from agrilake.llm.oracle import ORACLE
@@ -66,6 +68,51 @@ def test_join_equals_brute_force_on_chains(spark):
     assert found == _components(docs)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3000])
+def test_records_packed_and_back(n):
+    draw = np.random.default_rng(n)
+    keys, owners = draw.integers(0, 1 << 48, n, np.uint64), draw.integers(0, 1 << 16, n, np.uint64)
+    records = np.sort(keys << np.uint64(16) | owners)
+    found = adaptive_join.unpacked(adaptive_join.packed(records), n)
+    assert (found[0] == records >> np.uint64(16)).all() and (found[1] == records & np.uint64(0xFFFF)).all()
+
+
+def test_more_buckets_send_no_more_than_records(spark, monkeypatch):
+    """What is sent grows with the shingles, not with batches times buckets times the texts of a batch."""
+    texts = [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(400)]
+    docs, total = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), 400 * 56
+    size = F.sum(F.length("data") + F.length("sigs"))
+    for per_bucket in (1000, 100):
+        monkeypatch.setattr(adaptive_join, "PER_BUCKET", per_bucket)
+        assert adaptive_join.sent_shingles(docs, total).agg(size).first()[0] < 7 * total
+
+
+def test_batches_of_the_join_span_those_of_arrow(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} of these") for i in range(4500)], "doc_id long, text string").coalesce(1)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, 400)
+        assert adaptive_join.sent_shingles(docs, 4500).where("kind = 1").count() == 3
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_copies_in_other_batches_make_no_class_share(spark, monkeypatch):
+    monkeypatch.setattr(adaptive_join, "BATCH", 3)
+    monkeypatch.setattr(adaptive_join, "PER_BUCKET", 50)
+    own = [" ".join(f"own{i}x{k}" for k in range(30)) for i in range(4)]
+    docs = [(10 * i + c, text) for c in range(4) for i, text in enumerate(own)]
+    docs += [(100, own[0] + " more"), (101, own[1] + " " + own[2])]  # alone: only the copies of own[3]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in adaptive_join.link(frame).collect()}
+    assert found == _components(docs)
+    listed = []
+    monkeypatch.setattr(adaptive_join, "prefixes", lambda sets, f=adaptive_join.prefixes: f(listed.append(sets) or sets))
+    adaptive_join.link(frame).count()
+    assert {r["rep"] for r in listed[0].collect()} == {0, 10, 20, 100, 101}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_equal_sql(spark, sf_dir, name):
     duckdb = pytest.importorskip("duckdb")
