@@ -133,3 +133,17 @@ def test_packing_takes_clashing_columns(spark, sf_dir, clashing):
     ids = np.array([-5 if r["doc_id"] is None else r["doc_id"] for r in found if r["piece"] == 0])
     assert sorted(ids) == sorted(-5 if r["doc_id"] is None else r["doc_id"] for r in clashing.collect())
     assert corpus_pipeline.packing(spark, clashing.limit(0), sf_dir).count() == 0
+
+
+def test_every_stage_reads_texts_in_small_batches(spark, corpus, sf_dir):
+    setting, before = corpus_pipeline.ROWS_SETTING, spark.conf.get(corpus_pipeline.ROWS_SETTING)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(setting, 10_000)
+            stage(spark, corpus.limit(0), sf_dir)
+            assert int(spark.conf.get(setting)) <= 1000
+        spark.conf.set(setting, 200)
+        corpus_pipeline.language_id(spark, corpus.limit(0), sf_dir)
+        assert int(spark.conf.get(setting)) == 200
+    finally:
+        spark.conf.set(setting, before)
