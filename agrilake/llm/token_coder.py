@@ -46,8 +46,8 @@ ONE, W16, W32, W48 = (np.uint64(x) for x in (1, 16, 32, 48))
 class _Models:
     """Everything that the reader and the writer learn alike."""
 
-    def __init__(self, vocabulary: int, lanes: int):
-        self.v = vocabulary
+    def __init__(self, vocabulary: int, lanes: int, reads: bool = False):
+        self.v, self.reads = vocabulary, reads
         self.counts = np.zeros(vocabulary, np.int64)
         self.seen, self.due = 0, 0
         self.guess1 = np.zeros(vocabulary, np.int64)
@@ -76,9 +76,11 @@ class _Models:
         self.w1, self.w2 = w1.astype(np.uint64) << np.uint64(COUNTS), w2.astype(np.uint64) << np.uint64(COUNTS)
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        zero = np.uint64(0)
-        low = self.w0 * self.below[ids] + np.where(self.g1 < ids, self.w1, zero) + np.where(self.g2 < ids, self.w2, zero)
-        size = self.w0 * self.each[ids] + np.where(self.g1 == ids, self.w1, zero) + np.where(self.g2 == ids, self.w2, zero)
+        low, size = self.w0 * self.below[ids], self.w0 * self.each[ids]
+        low += self.w1 * (self.g1 < ids)
+        low += self.w2 * (self.g2 < ids)
+        size += self.w1 * (self.g1 == ids)
+        size += self.w2 * (self.g2 == ids)
         return low, size
 
     def find(self, at: np.ndarray) -> np.ndarray:
@@ -96,24 +98,24 @@ class _Models:
         ids = np.where(is_a, a, b)
         rest = np.flatnonzero(~(is_a | is_b))
         if len(rest):
-            ids[rest] = np.searchsorted(self.below, at[rest] // self.w0[rest], side="right") - 1
+            ids[rest] = self.holder[at[rest] // self.w0[rest]]
         return ids
 
     def learn(self, ids: np.ndarray) -> None:
         n = len(ids)
         hit2, hit1 = self.g2 == ids, self.g1 == ids
-        tried1 = ~hit2  # order 1 matters where order 2 missed
-        self.tries[0] += np.bincount(self.s2, minlength=LEVELS)
-        self.hits[0] += np.bincount(self.s2[hit2], minlength=LEVELS)
-        self.tries[1] += np.bincount(self.s1[tried1], minlength=LEVELS)
-        self.hits[1] += np.bincount(self.s1[hit1 & tried1], minlength=LEVELS)
+        # order 1 matters where order 2 missed
+        for order, outcome in enumerate((2 * self.s2 + hit2, (2 * self.s1 + hit1)[~hit2])):
+            found = np.bincount(outcome, minlength=2 * LEVELS).reshape(LEVELS, 2)
+            self.tries[order] += found[:, 0] + found[:, 1]
+            self.hits[order] += found[:, 1]
         for guess, sure, at, old, s, hit in (
             (self.guess2, self.sure2, self.slot, self.g2, self.s2, hit2),
             (self.guess1, self.sure1, self.p1, self.g1, self.s1, hit1),
         ):
             level = np.where(hit, np.minimum(s + 1, LEVELS - 1), s // 2)
-            guess[at] = np.where(hit | (level > 0), old, ids)
-            sure[at] = np.where(hit | (level > 0), level, 1)
+            guess[at] = np.where(level > 0, old, ids)
+            sure[at] = np.maximum(level, 1)
         np.add.at(self.counts, ids, 1)
         self.seen += n
         self.last2[:n] = self.last1[:n]
@@ -125,6 +127,8 @@ class _Models:
         each[int(each.argmax())] += (1 << COUNTS) - int(each.sum())
         self.each = each.astype(np.uint64)
         self.below = np.concatenate([[0], np.cumsum(each)]).astype(np.uint64)
+        if self.reads:  # the id that holds each of the frequencies' places
+            self.holder = np.repeat(np.arange(self.v, dtype=np.int32), each)
         self.due = self.seen + min(max(1024, self.seen), 1 << 16)
 
 
@@ -197,7 +201,7 @@ def decode_block(block: bytes) -> list[np.ndarray]:
         table = np.zeros((steps, lanes), np.int64)
         flat = np.concatenate([flat, np.zeros(4, np.uint64)])
         read = np.concatenate([[0], np.cumsum(used)[:-1]])
-        models = _Models(vocabulary, lanes)
+        models = _Models(vocabulary, lanes, reads=True)
         low, span = np.zeros(lanes, np.uint64), np.full(lanes, np.uint64(0xFFFFFFFFFFFFFFFF))
         code = np.zeros(lanes, np.uint64)
         for _ in range(4):

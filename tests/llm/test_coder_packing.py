@@ -34,6 +34,16 @@ def test_blocks_compress_and_notice_damage():
             token_coder.decode_block(broken)
 
 
+def test_reader_knows_the_id_of_every_frequency_without_a_search():
+    models = token_coder._Models(50, 1, reads=True)
+    for ids in ([3] * 500 + [7] * 40, list(range(50)) * 20):
+        models.mix(1)
+        at = np.arange(1 << token_coder.COUNTS, dtype=np.uint64)
+        assert np.array_equal(models.holder, np.searchsorted(models.below, at, side="right") - 1)
+        np.add.at(models.counts, ids, 1)
+        models.seen, models.due = models.seen + len(ids), 0
+
+
 ODD = ["", " ", "a ", " a", "  a", "a\n b", "a \nb", "\n\n x", "a  b", "x\t\ty  z\n \n", "don't it's", "<|endoftext|> x", "É é １２"]
 
 
