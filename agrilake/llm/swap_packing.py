@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrilake.llm.scratch import stored
-from agrilake.llm.tokens import REMEMBERED, as_ids, encoder_of
+from agrilake.llm.tokens import REMEMBERED, encoder_of
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Pieces packed together in the first round and, about, in the second.
@@ -172,16 +172,14 @@ def pieces(
         end = np.array([end_id], "<u4")
         for batch in batches:
             rows: list[tuple] = []
-            for i in range(0, batch.num_rows, 256):
-                some = batch.slice(i, 256)
-                coded = encoder.encode([t or "" for t in some.column("text").to_pylist()])
-                for name, one in zip(some.column("doc_id").to_pylist(), coded, strict=True):
-                    ids = np.concatenate([as_ids(one), end])
-                    first = len(ids) % capacity
-                    starts = [0] * bool(first) + list(range(first, len(ids), capacity))
-                    for piece, start in enumerate(starts):
-                        until = starts[piece + 1] if piece + 1 < len(starts) else len(ids)
-                        rows.append((name, piece, start, until - start, zlib.crc32(ids[start:until].tobytes())))
+            coded = encoder.encode_column(batch.column("text"))
+            for name, one in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
+                ids = np.concatenate([one, end])
+                first = len(ids) % capacity
+                starts = [0] * bool(first) + list(range(first, len(ids), capacity))
+                for piece, start in enumerate(starts):
+                    until = starts[piece + 1] if piece + 1 < len(starts) else len(ids)
+                    rows.append((name, piece, start, until - start, zlib.crc32(ids[start:until])))
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else []
             if columns:

@@ -11,10 +11,12 @@ import ctypes
 import gc
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of parts and their ids that a worker remembers, about; beyond it, what wasn't met again for a while is dropped.
 REMEMBERED = 64 << 20
@@ -31,9 +33,9 @@ class Memory:
         self.old: dict[str, bytes] = {}
         self.size = 0
 
-    def missing(self, parts: set[str], more: bool = False) -> set[str]:
-        """Those of `parts` that aren't remembered; all others are in `young` until the next call without `more`."""
-        if self.size > self.half and not more:
+    def missing(self, parts: set[str]) -> set[str]:
+        """Those of `parts` that aren't remembered; all others are in `young` until the next call."""
+        if self.size > self.half:
             self.old, self.young, self.size = self.young, {}, 0
         new = parts.difference(self.young)  # looks each part up, whereas a keys view would be walked whole
         old = self.old
@@ -50,10 +52,15 @@ class Memory:
 #: Pre-tokens of the word vocabulary, for lower-case texts of ASCII and Latin-1 letters; taken from the tokenizer file.
 PLAIN = re.compile(r"[\x00-\x7Eß-öø-ÿ]*\Z")
 PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t-\r]+")
-#: A word with marks at its end, and after a line end perhaps a second one: pre-tokens of the byte-level vocabulary, whatever
-#: follows. Its ids are those of its words and marks in a row.
-MARKS = frozenset(".,;:!?")
-ENDED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*))?\Z")
+#: Bytes of texts that are cut into parts together, about.
+TOGETHER = 2 << 20
+#: Between the parts of a text for the byte-level vocabulary; texts that hold it go whole.
+CUT = "\0"
+#: For Arrow's expressions: what isn't lowered alike everywhere, a mark after a letter, a line end between two characters.
+ODD = r"[^\x00-\x7EÀ-ÖØ-öø-ÿ]"
+MARKED = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-/:-@\[-`{-~])"
+LINE_END = r"([!-~À-ÖØ-öø-ÿ])\n([!-~À-ÖØ-öø-ÿ])"
+BLANK = re.compile(r"\s")
 
 
 class WordEncoder:
@@ -70,7 +77,6 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids above 65535 don't fit")
-        self.before = " " if joined else ""
         self.joined = joined
         self.known = Memory(remembered)
         if joined:  # ids whose text begins with a space, as the first id of every part does and no other
@@ -88,21 +94,21 @@ class WordEncoder:
             self.lean.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
             self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-            self.tokens = Memory()
 
     def _parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of every part, the space before it included. One text of many parts takes the library much less time."""
+        """Ids of every part. One text of many parts takes the library much less time."""
         if self.joined:
-            return self._cut(self.tokenizer, parts) or self._whole([self.before + p for p in parts])
+            return self._cut(self.tokenizer, parts) or self._whole(parts)
         lower = [p.lower() for p in parts]
         odd = [i for i, p in enumerate(lower) if not (p.isascii() or PLAIN.match(p))]
         for i in odd:
             lower[i] = ""
         cut = list(map(PRE_TOKEN.findall, lower))
-        new = list(self.tokens.missing(set().union(*cut)))
-        found = dict(zip(new, (self._cut(self.lean, new) or self._whole(new)) if new else [], strict=True))
-        self.tokens.add(found)
-        found = self.tokens.young
+        met = set().union(*cut)
+        known = self.known.young  # a part may be a token too
+        found = {t: known[t] for t in met if t in known}
+        new = list(met.difference(found))
+        found.update(zip(new, (self._cut(self.lean, new) or self._whole(new)) if new else [], strict=True))
         out = [found[pieces[0]] if len(pieces) == 1 else b"".join([found[t] for t in pieces]) for pieces in cut]
         for i, ids in zip(odd, self._whole([parts[i] for i in odd]), strict=True):
             out[i] = ids
@@ -112,7 +118,7 @@ class WordEncoder:
         """Ids of each part out of those of one text; None if they don't show where the parts are."""
         if "" in parts:
             return None
-        text = "".join([" " + p for p in parts]) if self.joined else " ".join(parts)
+        text = ("" if self.joined else " ").join(parts)
         ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
         first = np.flatnonzero(self.opens[ids]) if self.joined else np.append(0, np.flatnonzero(self.closes[ids])[:-1] + 1)
         if len(first) != len(parts) or len(ids) and first[0]:
@@ -124,42 +130,28 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(x.ids, "<u2").tobytes() for x in found]
 
-    def _learn(self, parts: set[str]) -> dict[str, bytes]:
-        """Remembers all short parts; ids of the long ones."""
-        new = self.known.missing(parts)
-        ended: dict[str, tuple[str, ...]] = {}
+    def _learn(self, parts: list[str]) -> list[bytes]:
+        """Ids of every part; all short parts are remembered."""
+        new = self.known.missing(set(parts))
+        coded: dict[str, bytes] = {}
         if self.joined:
-            marked = [p for p in new if p[-1:] in MARKS or "\n" in p]
-            ended = {p: found.groups("") for p, found in zip(marked, map(ENDED.match, marked), strict=True) if found}
-        coded = self._coded(list(new.difference(ended)))
-        if ended:
-            words, *others = map(set, zip(*ended.values(), strict=True))
-            coded |= self._coded(list(self.known.missing(words.difference(coded), more=True)))
-            # what has no space before it is remembered with one, as no part of a text has
-            unknown = list(self.known.missing({" " + x for x in set().union(*others) if x}, more=True))
-            coded.update(zip(unknown, self._bare([x[1:] for x in unknown]), strict=True))
-            young = self.known.young
-            for part, (word, marks, second, last) in ended.items():
-                out = coded.get(word) or young[word]
-                for x in (marks, second, last):
-                    if x:
-                        out += (self.line if x == second else b"") + (coded.get(" " + x) or young[" " + x])
-                coded[part] = out
+            blank = {p for p in new if p in ("", " ") or BLANK.search(p.removeprefix(" "))}
+            coded.update(zip(blank, self._whole(list(blank)), strict=True))
+            new = new.difference(blank)
+            bare = [p for p in new if p[0] != " "]
+            new = new.difference(bare)
+            for i in range(0, len(bare), 4096):
+                coded.update(zip(bare[i : i + 4096], self._bare(bare[i : i + 4096]), strict=True))
+        unknown = list(new)
+        for i in range(0, len(unknown), 4096):
+            coded.update(zip(unknown[i : i + 4096], self._parts(unknown[i : i + 4096]), strict=True))
         long = {p: coded.pop(p) for p in [p for p in coded if len(p) > LONGEST]}
         self.known.add(coded)
-        return long
-
-    def _coded(self, parts: list[str]) -> dict[str, bytes]:
-        coded: dict[str, bytes] = {}
-        for i in range(0, len(parts), 4096):
-            some = parts[i : i + 4096]
-            coded.update(zip(some, self._parts(some), strict=True))
-        return coded
+        known = self.known.young
+        return [long[p] if p in long else known[p] for p in parts] if long else [known[p] for p in parts]
 
     def _bare(self, words: list[str]) -> list[bytes]:
         """Ids of words or marks without a space before them: each is a line of one text."""
-        if not words:
-            return []
         packed = self._whole(["".join(["\n" + w for w in words])])[0]
         ids = np.frombuffer(packed, "<u2")
         first = 2 * np.flatnonzero(ids == np.frombuffer(self.line, "<u2")[0])
@@ -167,25 +159,55 @@ class WordEncoder:
             return self._whole(words)
         return [packed[a + 2 : b] for a, b in zip(first.tolist(), [*first[1:].tolist(), len(packed)], strict=True)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        # a run of spaces is cut by its length, so such texts go whole
-        whole = [i for i, t in enumerate(texts) if self.joined and "  " in t]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole]) if whole else [], strict=True):
-            out[i] = ids
-        cut = {i: t.split(" ") for i, t in enumerate(texts) if not self.joined or "  " not in t}
-        heads = [b""] * len(cut)
-        if self.joined and cut:  # the first part has no space before it
-            heads = self._whole([parts.pop(0) for parts in cut.values()])
-        long = self._learn(set().union(*cut.values()))
-        known = self.known.young
-        for head, (i, parts) in zip(heads, cut.items(), strict=True):
-            if long and not long.keys().isdisjoint(parts):
-                out[i] = head + b"".join([long[p] if p in long else known[p] for p in parts])
-            else:
-                out[i] = head + b"".join(map(known.__getitem__, parts))
+    def _prepared(self, texts: pa.Array) -> tuple[pa.Array, str]:
+        """Texts with the returned separator between parts that no pre-token reaches over."""
+        if self.joined:  # a part keeps the space before it
+            texts = pc.replace_substring_regex(texts, MARKED, rf"\1{CUT}\2")
+            texts = pc.replace_substring_regex(texts, LINE_END, f"\\1{CUT}\n{CUT}\\2")
+            return pc.replace_substring(texts, " ", CUT + " "), CUT
+        texts = pc.if_else(pc.match_substring_regex(texts, ODD), texts, pc.utf8_lower(texts))
+        texts = pc.replace_substring(texts, "\n", " ")
+        return pc.replace_substring_regex(texts, MARKED, r"\1 \2"), " "
+
+    def _together(self, texts: pa.Array) -> list[np.ndarray]:
+        whole: list[int] = []
+        if self.joined:  # a run of spaces is cut by its length, so such texts go whole
+            runs = pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, CUT))
+            whole = np.flatnonzero(runs.to_numpy(zero_copy_only=False)).tolist()
+        plain = pc.if_else(runs, pa.scalar("", pa.large_string()), texts) if whole else texts
+        cut = pc.split_pattern(*self._prepared(plain))
+        parts = cut.flatten().dictionary_encode()
+        found = self._learn(parts.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(found), "<u2")
+        size = np.fromiter(map(len, found), np.int32, len(found)) // 2
+        first = np.cumsum(size, dtype=np.int32) - size
+        which = parts.indices.to_numpy()
+        sizes = size[which]
+        until = np.cumsum(sizes, dtype=np.int64)
+        # the place in `ids` of every id of every part in a row
+        at = np.repeat(first[which] - (until - sizes), sizes)
+        at += np.arange(len(at))
+        ids = ids[at]
+        ends = np.append(0, until)[cut.offsets.to_numpy()].tolist()
+        out = [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        for i, packed in zip(whole, self._whole(texts.take(whole).to_pylist()) if whole else [], strict=True):
+            out[i] = np.frombuffer(packed, "<u2")
         return out
 
+    def encode_column(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of every text, as little-endian 16-bit numbers; a null text is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        start = 0
+        while start < len(texts):
+            so_far = int(ends[start - 1]) if start else 0
+            until = max(start + 1, int(np.searchsorted(ends, so_far + TOGETHER, side="right")))
+            yield from self._together(texts.slice(start, until - start))
+            start = until
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [ids.tobytes() for ids in self.encode_column(pa.array(texts, pa.large_string()))]
+
 
 @lru_cache(maxsize=1)
 def encoder_of(path: str, joined: bool, remembered: int = REMEMBERED) -> WordEncoder:
