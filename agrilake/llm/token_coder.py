@@ -1,16 +1,19 @@
 """Token ids in compressed, checksummed blocks: an adaptive context-mixing range coder.
 
 A block holds the ids of whole documents and can be read alone: all models start anew with it. Its ids are cut into
-lanes, each a range coder of its own (64-bit, carry-less, 16-bit output), and all lanes take their steps together as
-numpy vectors, learning into common models:
+lanes, which take their steps together as numpy vectors and learn into common models:
 
 - order 0: counts of all ids so far, turned into cumulative frequencies again whenever enough new ids have come;
-- order 1: for the id before, the id that last followed it, with a confidence that hits raise and misses lower;
+- order 1: for the id before, an id that followed it, with a confidence that hits raise and misses lower;
 - order 2: the same for the two ids before, in a hashed table.
 
 Each confidence level has a measured hit rate. The three predictions are mixed into one distribution with those rates
-as weights: P(id) = w2 [id = guess2] + w1 [id = guess1] + w0 P0(id); arithmetic coding takes the id's interval in it.
-Reader and writer update the models alike after every step, so the file holds nothing but the codes.
+as weights: P(id) = w2 [id = guess2] + w1 [id = guess1] + w0 P0(id). Each lane is a range coder by an asymmetric numeral
+system: a 64-bit state takes the id's interval in the distribution, and all lanes share one row of 32-bit words. Such a
+coder writes from the last step to the first and reads from the first to the last.
+
+Models learn after 1, 2, 4, 8 and 16 steps, then after every 16, from all steps since. So the writer, who knows all ids,
+finds the intervals of many steps at once. Reader and writer learn alike, so the file holds nothing but the codes.
 
 Cases: an empty document has only its end id; without rows nothing is written and the result is empty; null ids of
 documents sort first; documents with equal ids keep a fixed order by their text; long documents make a long block, as
@@ -30,53 +33,60 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agrilake.llm.scratch import new_path
-from agrilake.llm.tokens import as_ids, encoder_of
+from agrilake.llm.tokens import encoder_of
 
-MAGIC = b"AMC1"
+MAGIC = b"AMC2"
 HEAD = struct.Struct("<4sIIIIII")  # magic, vocabulary, ids, documents, lanes, checksum of ids, checksum of the rest
 SHARES = 12  # bits of the mixing weights
-COUNTS = 20  # bits of the order-0 frequencies
+COUNTS = 20  # bits of the order-0 frequencies; with the weights' bits they fill a word
 LEAST = 64  # of 4096: weight that order 0 always keeps
-LEVELS = 8
+LEVEL = 3  # bits of a confidence
+LEVELS = 1 << LEVEL
 SLOTS = 18  # bits of the order-2 table's index
-LOW48 = np.uint64((1 << 48) - 1)
-ONE, W16, W32, W48 = (np.uint64(x) for x in (1, 16, 32, 48))
+LANES = 4096
+STEPS = 16  # between two updates of the models
+REMEMBERED_HERE = 192 << 20  # bytes of words that a worker remembers
+WORD = np.uint64(32)
+LEAST_STATE = np.uint64(1 << 32)
+#: By twice the confidence, and one for a hit: whether the guess is given up, and else what is added to the confidence.
+GIVEN_UP = np.arange(2 * LEVELS) < 3
+GIVEN_UP[1] = False
+CHANGE = np.array([x for s in range(LEVELS) for x in (s // 2 - s, min(s + 1, LEVELS - 1) - s)], np.int64)
 
 
 class _Models:
-    """Everything that the reader and the writer learn alike."""
+    """Everything that the reader and the writer learn alike. An entry of the orders 1 and 2 is a guess over its confidence."""
 
     def __init__(self, vocabulary: int, lanes: int, reads: bool = False):
         self.v, self.reads = vocabulary, reads
         self.counts = np.zeros(vocabulary, np.int64)
         self.seen, self.due = 0, 0
-        self.guess1 = np.zeros(vocabulary, np.int64)
-        self.sure1 = np.zeros(vocabulary, np.int64)
-        self.guess2 = np.zeros(1 << SLOTS, np.int64)
-        self.sure2 = np.zeros(1 << SLOTS, np.int64)
+        self.after1 = np.zeros(vocabulary, np.int32)
+        self.after2 = np.zeros(1 << SLOTS, np.int32)
         # hits and tries of each level; untouched entries have no say
         self.hits = np.outer([1, 1], np.arange(LEVELS) * 2.0)
         self.tries = np.full((2, LEVELS), 2.0 * LEVELS)
         self.last1 = np.zeros(lanes, np.int64)
         self.last2 = np.zeros(lanes, np.int64)
+        self._weigh()
 
     def mix(self, n: int) -> None:
         """Predictions and weights for the next id of the first n lanes."""
+        self.predict(self.last1[:n], self.last2[:n])
+
+    def predict(self, before: np.ndarray, earlier: np.ndarray) -> None:
+        """Predictions and weights for the ids after `before`, which are after `earlier`."""
         if self.seen >= self.due:
             self._count_again()
-        p1, p2 = self.last1[:n], self.last2[:n]
-        self.p1 = p1
-        self.slot = ((p1 * 0x9E3779B1 ^ p2 * 0x85EBCA6B) >> 7) & ((1 << SLOTS) - 1)
-        self.g2, self.g1 = self.guess2[self.slot], self.guess1[p1]
-        self.s2, self.s1 = self.sure2[self.slot], self.sure1[p1]
-        rate = self.hits / self.tries
-        w2 = np.minimum(4000 * rate[0], 3900).astype(np.int64)[self.s2]
-        w1 = (np.minimum(rate[1], 0.97)[self.s1] * (4096 - LEAST - w2)).astype(np.int64)
-        self.w0 = (4096 - w1 - w2).astype(np.uint64)
-        self.w1, self.w2 = w1.astype(np.uint64) << np.uint64(COUNTS), w2.astype(np.uint64) << np.uint64(COUNTS)
+        self.p1 = before
+        self.slot = ((before * 0x9E3779B1 ^ earlier * 0x85EBCA6B) >> 7) & ((1 << SLOTS) - 1)
+        self.e1, self.e2 = self.after1.take(before).astype(np.int64), self.after2.take(self.slot).astype(np.int64)
+        self.g1, self.g2 = self.e1 >> LEVEL, self.e2 >> LEVEL
+        levels = (self.e2 & (LEVELS - 1)) << LEVEL | self.e1 & (LEVELS - 1)
+        self.w0, self.w1, self.w2 = (w.take(levels) for w in self.weights)
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        low, size = self.w0 * self.below[ids], self.w0 * self.each[ids]
+        low, size = self.w0 * self.below.take(ids), self.w0 * self.each.take(ids)
         low += self.w1 * (self.g1 < ids)
         low += self.w2 * (self.g2 < ids)
         size += self.w1 * (self.g1 == ids)
@@ -85,59 +95,68 @@ class _Models:
 
     def find(self, at: np.ndarray) -> np.ndarray:
         """Ids whose intervals hold the values `at`."""
-        swap = self.g2 < self.g1
-        a, wa = np.where(swap, self.g2, self.g1), np.where(swap, self.w2, self.w1)
-        b, wb = np.where(swap, self.g1, self.g2), np.where(swap, self.w1, self.w2)
-        # take off what the smaller guess adds, then what the larger one adds
-        end_a = self.w0 * self.below[a + 1] + wa + np.where(a == b, wb, np.uint64(0))
-        is_a = (at >= self.w0 * self.below[a]) & (at < end_a)
-        at = np.where(at >= end_a, at - wa, at)
-        end_b = self.w0 * self.below[b + 1] + wb
-        is_b = ~is_a & (at >= self.w0 * self.below[b]) & (at < end_b)
-        at = np.where(at >= end_b, at - wb, at)
-        ids = np.where(is_a, a, b)
-        rest = np.flatnonzero(~(is_a | is_b))
-        if len(rest):
-            ids[rest] = self.holder[at[rest] // self.w0[rest]]
-        return ids
-
-    def learn(self, ids: np.ndarray) -> None:
-        n = len(ids)
-        hit2, hit1 = self.g2 == ids, self.g1 == ids
+        # a guess's weight lies before its share of order 0; without both weights, only order 0's shares are left
+        past = at - self.w0 * self.below.take(self.g1)
+        past -= self.w2 * (self.g2 < self.g1)
+        at = at - np.minimum(np.maximum(past, 0), self.w1)
+        past = at - self.w0 * self.below.take(self.g2)
+        at -= np.minimum(np.maximum(past, 0), self.w2)
+        # both are far below 2^53, so the quotient is never rounded up to the next whole number
+        return self.holder.take((at / self.w0).astype(np.int64)).astype(np.int64)
+
+    def learn(self, ids: np.ndarray, p1: np.ndarray, slot: np.ndarray, e1: np.ndarray, e2: np.ndarray) -> None:
+        """From ids and what `predict` found for them; of equal contexts, the last one counts."""
+        # twice the confidence, and one for a hit
+        outcome1, outcome2 = ((e & (LEVELS - 1)) * 2 + (e >> LEVEL == ids) for e in (e1, e2))
+        found = np.bincount(outcome2 * 2 * LEVELS + outcome1, minlength=4 * LEVELS**2).reshape(LEVELS, 2, LEVELS, 2)
         # order 1 matters where order 2 missed
-        for order, outcome in enumerate((2 * self.s2 + hit2, (2 * self.s1 + hit1)[~hit2])):
-            found = np.bincount(outcome, minlength=2 * LEVELS).reshape(LEVELS, 2)
-            self.tries[order] += found[:, 0] + found[:, 1]
-            self.hits[order] += found[:, 1]
-        for guess, sure, at, old, s, hit in (
-            (self.guess2, self.sure2, self.slot, self.g2, self.s2, hit2),
-            (self.guess1, self.sure1, self.p1, self.g1, self.s1, hit1),
-        ):
-            level = np.where(hit, np.minimum(s + 1, LEVELS - 1), s // 2)
-            guess[at] = np.where(level > 0, old, ids)
-            sure[at] = np.maximum(level, 1)
-        np.add.at(self.counts, ids, 1)
-        self.seen += n
-        self.last2[:n] = self.last1[:n]
-        self.last1[:n] = ids
+        for order, of in enumerate((found.sum(axis=(2, 3)), found[:, 0].sum(axis=0))):
+            self.tries[order] += of.sum(axis=1)
+            self.hits[order] += of[:, 1]
+        fresh = (ids << LEVEL) + 1
+        for table, at, entry, outcome in ((self.after2, slot, e2, outcome2), (self.after1, p1, e1, outcome1)):
+            table[at] = np.where(GIVEN_UP.take(outcome), fresh, entry + CHANGE.take(outcome))
+        self.counts += np.bincount(ids, minlength=self.v)
+        self.seen += len(ids)
+        self._weigh()
+
+    def _weigh(self) -> None:
+        """The three weights for every pair of confidences."""
+        rate = self.hits / self.tries
+        w2 = np.minimum(4000 * rate[0], 3900).astype(np.int64)[:, None]
+        w1 = (np.minimum(rate[1], 0.97)[None, :] * (4096 - LEAST - w2)).astype(np.int64)
+        w0 = 4096 - w1 - w2
+        self.weights = w0.ravel(), (w1 << COUNTS).ravel(), (np.broadcast_to(w2, w1.shape) << COUNTS).ravel()
 
     def _count_again(self) -> None:
         spare = (1 << COUNTS) - self.v
         each = 1 + self.counts * spare // max(1, self.seen) if self.seen else np.full(self.v, (1 << COUNTS) // self.v)
         each[int(each.argmax())] += (1 << COUNTS) - int(each.sum())
-        self.each = each.astype(np.uint64)
-        self.below = np.concatenate([[0], np.cumsum(each)]).astype(np.uint64)
+        self.each = each
+        self.below = np.concatenate([[0], np.cumsum(each)])
         if self.reads:  # the id that holds each of the frequencies' places
-            self.holder = np.repeat(np.arange(self.v, dtype=np.int32), each)
+            self.holder = np.repeat(np.arange(self.v, dtype=np.uint16 if self.v <= 1 << 16 else np.int32), each)
         self.due = self.seen + min(max(1024, self.seen), 1 << 16)
 
 
 def _lanes(n: int) -> tuple[int, int]:
     """Lanes and steps for n ids."""
-    steps = -(-n // max(1, min(2048, n // 256)))
+    steps = -(-n // max(1, min(LANES, n // 256)))
     return (-(-n // steps), steps) if n else (0, 0)
 
 
+def _rounds(n: int, lanes: int, steps: int) -> Iterator[tuple[int, int, int]]:
+    """First and last step between two updates, and how many lanes take them: the last lane may end before the others."""
+    ends = n - (lanes - 1) * steps
+    start = 0
+    while start < steps:
+        until = min(steps, start + min(STEPS, max(1, start)))
+        if start < ends < until:
+            until = ends
+        yield start, until, lanes if start < ends else lanes - 1
+        start = until
+
+
 def encode_block(documents: list[np.ndarray], vocabulary: int) -> bytes:
     """One block of whole documents, each an array of ids below `vocabulary`."""
     if not 0 < vocabulary <= 1 << 18:
@@ -147,37 +166,30 @@ def encode_block(documents: list[np.ndarray], vocabulary: int) -> bytes:
         raise ValueError("an id lies beyond the vocabulary")
     n = len(ids)
     lanes, steps = _lanes(n)
-    table = np.zeros(lanes * steps, np.int64)
-    table[:n] = ids
-    table = table.reshape(lanes, steps).T.copy() if n else table.reshape(0, 0)
-    models = _Models(vocabulary, lanes)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, np.uint64(0xFFFFFFFFFFFFFFFF))
-    words = np.zeros((lanes, 4 * steps + 8), "<u2")
-    used = np.zeros(lanes, np.int64)
-    for step in range(steps):
-        active = lanes if (lanes - 1) * steps + step < n else lanes - 1
-        models.mix(active)
-        now = table[step, :active]
-        start, size = models.interval(now)
-        unit = span[:active] >> W32
-        low[:active] += start * unit
-        span[:active] = size * unit
-        at = np.flatnonzero(span[:active] <= LOW48)
-        while len(at):
-            lo, sp = low[at], span[at]
-            apart = ((lo ^ (lo + sp - ONE)) >> W48) != 0
-            sp = np.where(apart, (np.uint64(0) - lo) & LOW48, sp)
-            words[at, used[at]] = lo >> W48
-            used[at] += 1
-            low[at], span[at] = lo << W16, sp << W16
-            at = at[(sp << W16) <= LOW48]
-        models.learn(now)
-    for _ in range(4 if n else 0):
-        words[np.arange(lanes), used] = low >> W48
-        used += 1
-        low <<= W16
-    body = np.array([len(d) for d in documents], "<u4").tobytes() + used.astype("<u4").tobytes()
-    body += words[np.arange(words.shape[1]) < used[:, None]].tobytes()
+    # two steps of zeros stand before the first
+    table = np.zeros((steps + 2, lanes), np.int64)
+    padded = np.zeros(lanes * steps, np.uint32)
+    padded[:n] = ids
+    table[2:] = padded.reshape(lanes, steps).T
+    models = _Models(max(2, vocabulary), lanes)
+    taken: list[tuple[np.ndarray, np.ndarray]] = []
+    for start, until, active in _rounds(n, lanes, steps):
+        now = table[start + 2 : until + 2, :active].ravel()
+        models.predict(table[start + 1 : until + 1, :active].ravel(), table[start:until, :active].ravel())
+        low, size = models.interval(now)
+        taken += zip(low.view(np.uint64).reshape(-1, active), size.view(np.uint64).reshape(-1, active), strict=True)
+        models.learn(now, models.p1, models.slot, models.e1, models.e2)
+    states, words = np.full(lanes, LEAST_STATE), [np.zeros(0, "<u4")]
+    for low, size in reversed(taken):
+        state = states[: len(low)]
+        full = np.flatnonzero(state >= size << WORD)
+        over = state[full]
+        words.append(over.astype("<u4"))
+        state[full] = over >> WORD
+        times = state // size
+        state += low + times * (LEAST_STATE - size)
+    body = np.array([len(d) for d in documents], "<u4").tobytes() + states.astype("<u8").tobytes()
+    body += np.concatenate(words[::-1]).tobytes()
     head = HEAD.pack(MAGIC, vocabulary, n, len(documents), lanes, zlib.crc32(ids.tobytes()), zlib.crc32(body))
     return head + body
 
@@ -190,44 +202,35 @@ def decode_block(block: bytes) -> list[np.ndarray]:
     body = block[HEAD.size :]
     if magic != MAGIC or zlib.crc32(body) != of_body:
         raise ValueError("the block is damaged")
+    if _lanes(n)[0] != lanes:
+        raise ValueError("the block is damaged")
+    steps = _lanes(n)[1]
     lengths = np.frombuffer(body, "<u4", count)
-    used = np.frombuffer(body, "<u4", lanes, 4 * count).astype(np.int64)
-    flat = np.frombuffer(body, "<u2", -1, 4 * (count + lanes)).astype(np.uint64)
-    ids = np.zeros(n, "<u4")
-    if n:
-        if _lanes(n)[0] != lanes:
-            raise ValueError("the block is damaged")
-        steps = _lanes(n)[1]
-        table = np.zeros((steps, lanes), np.int64)
-        flat = np.concatenate([flat, np.zeros(4, np.uint64)])
-        read = np.concatenate([[0], np.cumsum(used)[:-1]])
-        models = _Models(vocabulary, lanes, reads=True)
-        low, span = np.zeros(lanes, np.uint64), np.full(lanes, np.uint64(0xFFFFFFFFFFFFFFFF))
-        code = np.zeros(lanes, np.uint64)
-        for _ in range(4):
-            code = code << W16 | flat[read]
-            read = read + 1
-        for step in range(steps):
-            active = lanes if (lanes - 1) * steps + step < n else lanes - 1
+    states = np.frombuffer(body, "<u8", lanes, 4 * count).astype(np.uint64)
+    words, read = np.frombuffer(body, "<u4", -1, 4 * count + 8 * lanes).astype(np.uint64), 0
+    table = np.zeros((steps, lanes), np.uint32)
+    models = _Models(max(2, vocabulary), lanes, reads=True)
+    for start, until, active in _rounds(n, lanes, steps):
+        state = states[:active]
+        met = np.empty((5, until - start, active), np.int64)
+        for step in range(start, until):
             models.mix(active)
-            unit = span[:active] >> W32
-            at = np.minimum((code[:active] - low[:active]) // unit, np.uint64(0xFFFFFFFF))
+            at = state.view(np.int64) & 0xFFFFFFFF
             now = models.find(at)
+            low, size = models.interval(now)
+            state >>= WORD
+            state *= size.view(np.uint64)
+            state += (at - low).view(np.uint64)
+            empty = np.flatnonzero(state < LEAST_STATE)
+            state[empty] = state[empty] << WORD | words[read : read + len(empty)]
+            read += len(empty)
             table[step, :active] = now
-            start, size = models.interval(now)
-            low[:active] += start * unit
-            span[:active] = size * unit
-            at = np.flatnonzero(span[:active] <= LOW48)
-            while len(at):
-                lo, sp = low[at], span[at]
-                apart = ((lo ^ (lo + sp - ONE)) >> W48) != 0
-                sp = np.where(apart, (np.uint64(0) - lo) & LOW48, sp)
-                code[at] = code[at] << W16 | flat[np.minimum(read[at], len(flat) - 1)]
-                read[at] += 1
-                low[at], span[at] = lo << W16, sp << W16
-                at = at[(sp << W16) <= LOW48]
-            models.learn(now)
-        ids = table.T.reshape(-1)[:n].astype("<u4")
+            for row, found in zip(met, (now, models.p1, models.slot, models.e1, models.e2), strict=True):
+                row[step - start] = found
+            models.last2[:active] = models.last1[:active]
+            models.last1[:active] = now
+        models.learn(*met.reshape(5, -1))
+    ids = table.T.reshape(-1)[:n].astype("<u4")
     if zlib.crc32(ids.tobytes()) != of_ids or int(lengths.sum()) != n:
         raise ValueError("the block is damaged")
     return np.split(ids, np.cumsum(lengths)[:-1]) if count else []
@@ -240,7 +243,8 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer, joined=False)
+        encoder = encoder_of(tokenizer, joined=False, remembered=REMEMBERED_HERE)
+        end = np.array([end_id], "<u4")
         vocabulary = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         part, before, number = TaskContext.get().partitionId(), 0, 0
         names: list[int | None] = []
@@ -254,17 +258,14 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
             )
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                some = batch.slice(i, 256)
-                texts = encoder.encode([t or "" for t in some.column("text").to_pylist()])
-                for name, packed in zip(some.column("doc_id").to_pylist(), texts, strict=True):
-                    ids = np.append(as_ids(packed), np.uint32(end_id)).astype("<u4")
-                    names.append(name)
-                    held.append(ids)
-                    size += len(ids)
-                    if size >= block_ids:
-                        yield row()
-                        before, number, size, names, held = before + size, number + 1, 0, [], []
+            texts = encoder.encode_column(batch.column("text"))
+            for name, coded in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                names.append(name)
+                held.append(np.concatenate([coded, end]))
+                size += len(held[-1])
+                if size >= block_ids:
+                    yield row()
+                    before, number, size, names, held = before + size, number + 1, 0, [], []
         if held:
             yield row()
 

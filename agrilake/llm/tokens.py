@@ -33,15 +33,23 @@ class Memory:
         self.old: dict[str, bytes] = {}
         self.size = 0
 
-    def missing(self, parts: set[str]) -> set[str]:
-        """Those of `parts` that aren't remembered; all others are in `young` until the next call."""
+    def get(self, parts: list[str]) -> list[bytes | None]:
+        """Ids of every part, None where they aren't remembered."""
         if self.size > self.half:
             self.old, self.young, self.size = self.young, {}, 0
-        new = parts.difference(self.young)  # looks each part up, whereas a keys view would be walked whole
-        old = self.old
-        again = {p: old[p] for p in new if p in old}
-        self.add(again)
-        return new.difference(again)
+        found = list(map(self.young.get, parts))
+        if self.old:
+            again = {}
+            for i, ids in enumerate(found):
+                if ids is None and (ids := self.old.get(parts[i])) is not None:
+                    found[i] = again[parts[i]] = ids
+            self.add(again)
+        return found
+
+    def missing(self, parts: set[str]) -> list[str]:
+        """Those of `parts` that aren't remembered."""
+        listed = list(parts)
+        return [p for p, ids in zip(listed, self.get(listed), strict=True) if ids is None]
 
     def add(self, found: dict[str, bytes]) -> None:
         self.young.update(found)
@@ -52,8 +60,6 @@ class Memory:
 #: Pre-tokens of the word vocabulary, for lower-case texts of ASCII and Latin-1 letters; taken from the tokenizer file.
 PLAIN = re.compile(r"[\x00-\x7Eß-öø-ÿ]*\Z")
 PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t-\r]+")
-#: Bytes of texts that are cut into parts together, about.
-TOGETHER = 2 << 20
 #: Between the parts of a text for the byte-level vocabulary; texts that hold it go whole.
 CUT = "\0"
 #: For Arrow's expressions: what isn't lowered alike everywhere, a mark after a letter, a line end between two characters.
@@ -79,6 +85,7 @@ class WordEncoder:
             raise ValueError("ids above 65535 don't fit")
         self.joined = joined
         self.known = Memory(remembered)
+        self.together = remembered // 32  # bytes of texts that are cut into parts at a time, about
         if joined:  # ids whose text begins with a space, as the first id of every part does and no other
             space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
             self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -99,20 +106,16 @@ class WordEncoder:
         """Ids of every part. One text of many parts takes the library much less time."""
         if self.joined:
             return self._cut(self.tokenizer, parts) or self._whole(parts)
-        lower = [p.lower() for p in parts]
-        odd = [i for i, p in enumerate(lower) if not (p.isascii() or PLAIN.match(p))]
-        for i in odd:
-            lower[i] = ""
-        cut = list(map(PRE_TOKEN.findall, lower))
-        met = set().union(*cut)
-        known = self.known.young  # a part may be a token too
-        found = {t: known[t] for t in met if t in known}
-        new = list(met.difference(found))
-        found.update(zip(new, (self._cut(self.lean, new) or self._whole(new)) if new else [], strict=True))
-        out = [found[pieces[0]] if len(pieces) == 1 else b"".join([found[t] for t in pieces]) for pieces in cut]
-        for i, ids in zip(odd, self._whole([parts[i] for i in odd]), strict=True):
-            out[i] = ids
-        return out
+        # most are words of lower-case letters, which are one pre-token each
+        out = dict.fromkeys(p for p in parts if p.isalpha() and p.islower() and (p.isascii() or PLAIN.match(p)))
+        words = list(out)
+        cut = {p: PRE_TOKEN.findall(p.lower()) for p in parts if p not in out and PLAIN.match(p.lower())}
+        words += set().union(*cut.values()).difference(out)
+        out.update(zip(words, (self._cut(self.lean, words) or self._whole(words)) if words else [], strict=True))
+        out.update([(p, b"".join([out[t] for t in tokens])) for p, tokens in cut.items()])
+        odd = [p for p in parts if p not in out]
+        out.update(zip(odd, self._whole(odd), strict=True))
+        return [out[p] for p in parts]
 
     def _cut(self, tokenizer, parts: list[str]) -> list[bytes] | None:
         """Ids of each part out of those of one text; None if they don't show where the parts are."""
@@ -131,24 +134,24 @@ class WordEncoder:
         return [np.array(x.ids, "<u2").tobytes() for x in found]
 
     def _learn(self, parts: list[str]) -> list[bytes]:
-        """Ids of every part; all short parts are remembered."""
-        new = self.known.missing(set(parts))
-        coded: dict[str, bytes] = {}
+        """Ids of every one of the parts, which are distinct; the short ones are remembered."""
+        found = self.known.get(parts)
+        at = [i for i, ids in enumerate(found) if ids is None]
+        new = [parts[i] for i in at]
+        kinds = [(self._parts, new)]
         if self.joined:
             blank = {p for p in new if p in ("", " ") or BLANK.search(p.removeprefix(" "))}
-            coded.update(zip(blank, self._whole(list(blank)), strict=True))
-            new = new.difference(blank)
-            bare = [p for p in new if p[0] != " "]
-            new = new.difference(bare)
-            for i in range(0, len(bare), 4096):
-                coded.update(zip(bare[i : i + 4096], self._bare(bare[i : i + 4096]), strict=True))
-        unknown = list(new)
-        for i in range(0, len(unknown), 4096):
-            coded.update(zip(unknown[i : i + 4096], self._parts(unknown[i : i + 4096]), strict=True))
-        long = {p: coded.pop(p) for p in [p for p in coded if len(p) > LONGEST]}
-        self.known.add(coded)
-        known = self.known.young
-        return [long[p] if p in long else known[p] for p in parts] if long else [known[p] for p in parts]
+            spaced = [p for p in new if p[:1] == " " and p not in blank]
+            kinds = [(self._whole, list(blank)), (self._parts, spaced)]
+            kinds.append((self._bare, [p for p in new if p[:1] != " " and p not in blank]))
+        coded: dict[str, bytes] = {}
+        for code, some in kinds:
+            for i in range(0, len(some), 4096):
+                coded.update(zip(some[i : i + 4096], code(some[i : i + 4096]), strict=True))
+        for i, p in zip(at, new, strict=True):
+            found[i] = coded[p]
+        self.known.add({p: ids for p, ids in coded.items() if len(p) <= LONGEST})
+        return found
 
     def _bare(self, words: list[str]) -> list[bytes]:
         """Ids of words or marks without a space before them: each is a line of one text."""
@@ -177,7 +180,7 @@ class WordEncoder:
         plain = pc.if_else(runs, pa.scalar("", pa.large_string()), texts) if whole else texts
         cut = pc.split_pattern(*self._prepared(plain))
         parts = cut.flatten().dictionary_encode()
-        found = self._learn(parts.dictionary.to_pylist())
+        found = self._learn(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
         ids = np.frombuffer(b"".join(found), "<u2")
         size = np.fromiter(map(len, found), np.int32, len(found)) // 2
         first = np.cumsum(size, dtype=np.int32) - size
@@ -201,7 +204,7 @@ class WordEncoder:
         start = 0
         while start < len(texts):
             so_far = int(ends[start - 1]) if start else 0
-            until = max(start + 1, int(np.searchsorted(ends, so_far + TOGETHER, side="right")))
+            until = max(start + 1, int(np.searchsorted(ends, so_far + self.together, side="right")))
             yield from self._together(texts.slice(start, until - start))
             start = until
 

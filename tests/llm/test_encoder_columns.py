@@ -9,7 +9,6 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from agrilake.llm import tokens
 from agrilake.llm.queries import _vocabulary
 from agrilake.llm.tokens import WordEncoder
 
@@ -38,12 +37,12 @@ def test_a_word_is_asked_for_once_whatever_follows_it(path, joined):
 
 
 @pytest.mark.parametrize(("path", "joined"), KINDS)
-def test_columns_in_pieces_equal_the_plain_tokenizer(path, joined, monkeypatch):
-    monkeypatch.setattr(tokens, "TOGETHER", 20)
+def test_columns_in_pieces_equal_the_plain_tokenizer(path, joined):
     texts = [None, "", "a" * 50, "One, two.\nThree\n\nfour", "x\0y z", "\nÉté. \n u.\n", "e≠. á.b Å, İ.x ς. Σ.", "12.5kg 'tis\xa0\ny don't."]
     column = pa.array(["out", *texts, "out"]).slice(1, len(texts))
     expected = [_plain(path).encode(t or "", add_special_tokens=False).ids for t in texts]
     encoder = WordEncoder(path, joined)
+    encoder.together = 20
     for _ in range(2):
         assert [ids.tolist() for ids in encoder.encode_column(column)] == expected
 
