@@ -81,7 +81,7 @@ def op6_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return swap_packing.pack_documents(docs, _vocabulary("byte_bpe_50k.json"), remembered=192 << 20)
+    return swap_packing.pack_documents(docs, _vocabulary("byte_bpe_50k.json"), remembered=192 << 20, together=6 << 20)
 
 
 def op8_adaptive_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrilake.llm.scratch import stored
-from agrilake.llm.tokens import REMEMBERED, encoder_of
+from agrilake.llm.tokens import REMEMBERED, TOGETHER, encoder_of
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Pieces packed together in the first round and, about, in the second.
@@ -163,12 +163,15 @@ def packed(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, remembered: int = REMEMBERED
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, remembered: int = REMEMBERED, together: int = TOGETHER
 ) -> DataFrame:
-    """Every document's ids, end id last, as pieces of at most `capacity` ids; a worker remembers words in `remembered` bytes."""
+    """Every document's ids, end id last, as pieces of at most `capacity` ids.
+
+    A worker remembers words in `remembered` bytes and cuts about `together` bytes of texts at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer, joined=True, remembered=remembered)
+        encoder = encoder_of(tokenizer, joined=True, remembered=remembered, together=together)
         end = np.array([end_id], "<u4")
         for batch in batches:
             rows: list[tuple] = []
@@ -227,6 +230,6 @@ def _numbered(rows: pd.DataFrame, base: int, capacity: int) -> pd.DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, remembered: int = REMEMBERED
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, remembered: int = REMEMBERED, together: int = TOGETHER
 ) -> DataFrame:
-    return pack(pieces(docs, tokenizer, capacity, end_id, remembered), capacity)
+    return pack(pieces(docs, tokenizer, capacity, end_id, remembered, together), capacity)

@@ -45,7 +45,7 @@ LEVELS = 1 << LEVEL
 SLOTS = 18  # bits of the order-2 table's index
 LANES = 4096
 STEPS = 16  # between two updates of the models
-REMEMBERED_HERE = 192 << 20  # bytes of words that a worker remembers
+REMEMBERED, TOGETHER = 192 << 20, 6 << 20  # bytes of words that a worker remembers, of texts that it cuts at a time
 WORD = np.uint64(32)
 LEAST_STATE = np.uint64(1 << 32)
 #: By twice the confidence, and one for a hit: whether the guess is given up, and else what is added to the confidence.
@@ -243,7 +243,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer, joined=False, remembered=REMEMBERED_HERE)
+        encoder = encoder_of(tokenizer, joined=False, remembered=REMEMBERED, together=TOGETHER)
         end = np.array([end_id], "<u4")
         vocabulary = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         part, before, number = TaskContext.get().partitionId(), 0, 0

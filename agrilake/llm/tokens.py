@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 
 #: Bytes of parts and their ids that a worker remembers, about; beyond it, what wasn't met again for a while is dropped.
 REMEMBERED = 64 << 20
+#: Bytes of texts that are cut into parts at a time, about; more of them look a part up less often.
+TOGETHER = 1 << 20
 #: Longer parts are encoded each time instead of being remembered.
 LONGEST = 64
 
@@ -75,7 +77,7 @@ class WordEncoder:
     `joined`: a space belongs to the word after it (byte-level BPE); otherwise spaces are dropped.
     """
 
-    def __init__(self, path: str, joined: bool, remembered: int = REMEMBERED):
+    def __init__(self, path: str, joined: bool, remembered: int = REMEMBERED, together: int = TOGETHER):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -85,7 +87,7 @@ class WordEncoder:
             raise ValueError("ids above 65535 don't fit")
         self.joined = joined
         self.known = Memory(remembered)
-        self.together = remembered // 32  # bytes of texts that are cut into parts at a time, about
+        self.together = together
         if joined:  # ids whose text begins with a space, as the first id of every part does and no other
             space = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
             self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
@@ -179,7 +181,8 @@ class WordEncoder:
             whole = np.flatnonzero(runs.to_numpy(zero_copy_only=False)).tolist()
         plain = pc.if_else(runs, pa.scalar("", pa.large_string()), texts) if whole else texts
         cut = pc.split_pattern(*self._prepared(plain))
-        parts = cut.flatten().dictionary_encode()
+        parts, cuts = cut.flatten().dictionary_encode(), cut.offsets.to_numpy()
+        del cut  # as large as the texts
         found = self._learn(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
         ids = np.frombuffer(b"".join(found), "<u2")
         size = np.fromiter(map(len, found), np.int32, len(found)) // 2
@@ -191,7 +194,7 @@ class WordEncoder:
         at = np.repeat(first[which] - (until - sizes), sizes)
         at += np.arange(len(at))
         ids = ids[at]
-        ends = np.append(0, until)[cut.offsets.to_numpy()].tolist()
+        ends = np.append(0, until)[cuts].tolist()
         out = [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
         for i, packed in zip(whole, self._whole(texts.take(whole).to_pylist()) if whole else [], strict=True):
             out[i] = np.frombuffer(packed, "<u2")
@@ -213,10 +216,10 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder_of(path: str, joined: bool, remembered: int = REMEMBERED) -> WordEncoder:
+def encoder_of(path: str, joined: bool, remembered: int = REMEMBERED, together: int = TOGETHER) -> WordEncoder:
     """The worker's encoder: its later tasks go on with what it remembers, `remembered` bytes at most."""
     release_memory()
-    return WordEncoder(path, joined, remembered)
+    return WordEncoder(path, joined, remembered, together)
 
 
 def forget_encoder() -> None:
